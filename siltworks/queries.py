@@ -1,0 +1,35 @@
+"""Registered queries of the core and their SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions.urls import normal_url
+from .operators.hierarchy import hierarchy
+
+QUERIES: dict = {}
+SQL: dict[str, str] = {}
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query
+def p3_found(spark, d):
+    created = F.col("created_at")
+    tree = hierarchy(table(spark, d, "frontier"), order=[F.expr("try_to_timestamp(created_at)"), created], key=normal_url)
+    return tree.select(F.col("node").alias("url"), F.col("root").alias("root_url"), F.col("depth").alias("tree_depth"), "descendants", "cycle_state")
+
+
+@query
+def p3_paths(spark, d):
+    created = F.col("created_at")
+    tree = hierarchy(table(spark, d, "frontier"), order=[F.expr("try_to_timestamp(created_at)"), created], key=normal_url, with_path=True)
+    return tree.select("node", "parent", "root", "depth", "descendants", "cycle_state", F.array_join("path", " > ").alias("path"))
