@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _PARTS = r"(?is)^(https?)://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
-_EDGE = r"^[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{1C}-\x{1F}]+|[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{1C}-\x{1F}]+$"
+#: White space as Unicode has it.
+BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(c: Column) -> Column:
-    """Both ends without any Unicode white space (``trim`` drops spaces only)."""
-    return F.regexp_replace(c, _EDGE, "")
+    """Both ends without any Unicode white space (``trim`` alone drops spaces only)."""
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def normal_url(c: Column) -> Column:
@@ -25,20 +26,17 @@ def normal_url(c: Column) -> Column:
     no absolute http(s) url give null. Percent escapes stay as written; see
     :func:`resolve_url` for the form that re-encodes them.
     """
-    u = strip(c)
-    query = F.regexp_extract(u, _PARTS, 4)
-    params = F.array_sort(F.filter(F.split(query, "&"), lambda x: x != ""))
-    path = F.regexp_replace(F.regexp_extract(u, _PARTS, 3), r"/+$", "")
-    return F.when(
-        F.regexp_extract(u, _PARTS, 2) != "",
-        F.concat(
-            F.lower(F.regexp_extract(u, _PARTS, 1)),
-            F.lit("://"),
-            F.lower(F.regexp_extract(u, _PARTS, 2)),
-            F.when(path == "", F.lit("/")).otherwise(path),
-            F.when(F.size(params) > 0, F.concat(F.lit("?"), F.array_join(params, "&"))).otherwise(F.lit("")),
-        ),
-    )
+
+    def build(p: Column) -> Column:
+        params = F.array_sort(F.filter(F.split(p[3], "&"), lambda x: x != ""))
+        path = F.rtrim(p[2], F.lit("/"))
+        query = F.when(F.size(params) > 0, F.concat(F.lit("?"), F.array_join(params, "&"))).otherwise(F.lit(""))
+        whole = F.concat(F.lower(p[0]), F.lit("://"), F.lower(p[1]), F.when(path == "", F.lit("/")).otherwise(path), query)
+        return F.when((F.size(p) == 4) & (p[1] != ""), whole)
+
+    # one match gives all parts; the array is there so that it is made once
+    parts = F.split(F.regexp_replace(strip(c), _PARTS, "$1\u0001$2\u0001$3\u0001$4"), "\u0001", -1)
+    return F.get(F.transform(F.array(parts), build), F.lit(0))
 
 
 @F.pandas_udf(T.StringType())

@@ -108,7 +108,7 @@ def _expand(pdf: pd.DataFrame, paths: bool) -> pd.DataFrame:
     lp = _links(ids, parents)
     _, dist, hops, st = _chase(lp, w)
     below = pdf["att_size"].fillna(0).to_numpy(np.int64)
-    total, on_ring = _sums(lp, hops, size + below, pdf["att_ring"].fillna(False).to_numpy(bool))
+    total, on_ring = _sums(lp, hops, size + below, pdf["att_ring"].eq(True).to_numpy(bool))
     far = pdf["r_state"].to_numpy(np.int64)
     state = np.where(st != NONE, st, np.where(far == MEMBER, np.where(on_ring, MEMBER, BELOW), far))
     # an exit that is a loop's stand-in from a lower level is a member by itself
