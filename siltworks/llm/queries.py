@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.urls import named_section, normal_url
+from .cross_split import leak_report, overlaps, record_pairs
 from .splits import entity_map, related_splits
 from .splitting import split_oversized
 
@@ -64,3 +65,15 @@ def p2_found(spark, d):
 @query
 def p2_splits(spark, d):
     return related_splits(table(spark, d, "canonical"), "record_id", _section_keys())
+
+
+@query
+def p5_found(spark, d):
+    members, pairs = overlaps(table(spark, d, "canonical"), table(spark, d, "record_splits"))
+    return record_pairs(members, pairs).select("record_a", "record_b")
+
+
+@query
+def p5_report(spark, d):
+    members, pairs = overlaps(table(spark, d, "canonical"), table(spark, d, "record_splits"))
+    return leak_report(members.withColumn("section", named_section(F.col("section"))), pairs)
