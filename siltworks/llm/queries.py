@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import named_section, normal_url
 from .cross_split import leak_report, overlaps, record_pairs
+from .defects import flag_defects
 from .splits import entity_map, related_splits
 from .splitting import split_oversized
 
@@ -77,3 +78,8 @@ def p5_found(spark, d):
 def p5_report(spark, d):
     members, pairs = overlaps(table(spark, d, "canonical"), table(spark, d, "record_splits"))
     return leak_report(members.withColumn("section", named_section(F.col("section"))), pairs)
+
+
+@query
+def p7_found(spark, d):
+    return flag_defects(table(spark, d, "canonical"))
