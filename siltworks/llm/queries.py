@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.urls import named_section, normal_url
 from .cross_split import leak_report, overlaps, record_pairs
 from .defects import flag_defects
+from .leakage import leaked_items, without_leaks
 from .splits import entity_map, related_splits
+from .stuffing import stuffed_pages
 from .splitting import split_oversized
 
 QUERIES: dict = {}
@@ -83,3 +85,20 @@ def p5_report(spark, d):
 @query
 def p7_found(spark, d):
     return flag_defects(table(spark, d, "canonical"))
+
+
+@query
+def p9_found(spark, d):
+    return leaked_items(table(spark, d, "documents"), table(spark, d, "benchmark_items")).select("doc_id", "item_id")
+
+
+@query
+def p9_clean_counts(spark, d):
+    docs = table(spark, d, "documents")
+    kept = without_leaks(docs.select("doc_id", "source"), leaked_items(docs, table(spark, d, "benchmark_items")))
+    return kept.groupBy("source").agg(F.count("*").alias("documents"))
+
+
+@query
+def p10_found(spark, d):
+    return stuffed_pages(table(spark, d, "documents")).select("doc_id")
