@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.urls import named_section, normal_url
 from .cross_split import leak_report, overlaps, record_pairs
 from .defects import flag_defects
+from .encoding import encode_corpus
 from .leakage import leaked_items, without_leaks
+from .page_body import main_body, page_furniture
 from .splits import entity_map, related_splits
 from .stuffing import stuffed_pages
 from .splitting import split_oversized
@@ -102,3 +104,18 @@ def p9_clean_counts(spark, d):
 @query
 def p10_found(spark, d):
     return stuffed_pages(table(spark, d, "documents")).select("doc_id")
+
+
+@query
+def p8_ids(spark, d):
+    return encode_corpus(table(spark, d, "documents"))
+
+
+@query
+def p6_found(spark, d):
+    return page_furniture(table(spark, d, "canonical"))
+
+
+@query
+def p6_bodies(spark, d):
+    return main_body(table(spark, d, "canonical").select("record_id", "source_chunk").distinct()).select("record_id", F.md5("body").alias("body_md5"), F.length("body").alias("chars"))
