@@ -22,7 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .defects import _WORD_LANGS
+from .defects import _WORD_LANGS, FUNCTION_WORDS
+from .leakage import LOOKALIKES
 
 CLASSES = 48
 _FUNCTION = 24  # function words share this many classes
@@ -41,16 +42,35 @@ def _bare(w: str) -> str:
     return w if w.isascii() else "".join(c for c in normalize("NFKD", w) if not combining(c))
 
 
-_FUNCTION_WORDS = {_bare(w) for w in _WORD_LANGS}
+# Function words beyond the few that tell languages apart.
+_MORE = (
+    "whenever whatever wherever although though unless whereas whether once again about above across against along among around behind below beneath beside between beyond despite down during except inside into like near off onto out outside over past per through throughout toward under up upon via within without"
+    " i you he she we they me him her us them my your our their mine yours these those such each every either neither any some all both few many much more most less least other another same own no nor never always often still already even ever just also too very so then thus there here now today later next finally first last"
+    " am is was were been being do did doing done had having will would shall could might must need ought provided ones one two three yet rather instead else however therefore else away back"
+    " ich du er wir ihr uns euch mein dein unser kein keine keinen alle allen allem jeder jedes jeden dieser diese dieses dies solche man sehr schon immer nie hier dort dann danach zuerst weiter weitere so also doch ja nein ob seit gegen um durch bis ab sobald bevor nachdem während würde wäre war waren sein gewesen kann muss soll will darf mag haben"
+    " je tu nous vous ils elles me te lui leur leurs mon ton notre votre mes tes nos vos aucun aucune tout toute tous toutes autre autres même mêmes très déjà toujours jamais ici là alors ainsi donc bien être été avait avoir fait faire doit peuvent sera serait rien plusieurs encore vers chez depuis pendant lors"
+    " yo tú él ella nosotros ellos ellas me te nos le les mi tu nuestro este esta esto estos estas ese esa eso aquel otro otra otros otras todo toda todos todas mismo misma muy ya siempre nunca aquí allí entonces así bien ser sido era fue haber hace debe pueden será sería nada varios aún hacia desde hasta sobre ambos sigue"
+).split()
+_FUNCTION_WORDS = {_bare(w) for w in [*_WORD_LANGS, *_MORE]} - {"near", "like", "past", "need", "last"}
+
+
+#: Function words of one language only, to its number.
+_TELLS = {_bare(w): k for k, ws in enumerate(FUNCTION_WORDS.values()) for w in ws if len(_WORD_LANGS[w]) == 1}
+
+
+_HIDDEN = {c: None for c in [*range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF, 0xAD]}
+_ALIKE = {ord(k): v for k, v in LOOKALIKES.items()}
 
 
 def _word_class(w: str) -> int:
+    if not w.isascii() and any(c.isascii() for c in w):
+        w = w.translate(_ALIKE)
     low = _bare(w.lower())
     if low in _FUNCTION_WORDS:
         return crc32(low.encode()) % _FUNCTION
     if ord(max(w)) >= 0x370:
         return _ID["other"]
-    if w.islower():
+    if w.islower() or (w.isupper() and len(w) > 3):
         return _ID["low"]
     if w.istitle():
         return _ID["cap"]
@@ -66,7 +86,7 @@ class Classer:
     """
 
     def __init__(self, bound: int = 200_000, memory: int = 30, longest: int = 7):
-        self.known: dict[str, tuple[int, str]] = {}
+        self.known: dict[str, tuple[int, str, int]] = {}
         self.bound, self.memory, self.longest = bound, memory, longest
         self.begin()
 
@@ -77,15 +97,19 @@ class Classer:
 
     def __call__(self, line: str) -> list[int]:
         out, known, last, at, memory, again, row = [], self.known, self.last, self.at, self.memory, _ID["again"], 0
+        votes = self.votes = [0] * len(FUNCTION_WORDS)
         for m in _TOKEN.finditer(line):
             kind, t = m.lastgroup, m.group()
             if kind == "word":
                 got = known.get(t)
                 if got is None:
-                    got = (_word_class(t), t.lower())
+                    low = t.lower()
+                    got = (_word_class(t), low, _TELLS.get(_bare(low), -1))
                     if len(known) < self.bound:
                         known[t] = got
-                c, low = got
+                c, low, tells = got
+                if tells >= 0:
+                    votes[tells] += 1
                 if c >= _FUNCTION:
                     at += 1
                     row += 1
@@ -109,7 +133,7 @@ def _lines(text: str):
     """(line, is structure) of a text: fenced code, tables, and plain lists under a lead-in line are structure."""
     fence = lead = False
     for raw in re.split(r"\r\n|[\n\r\x0b\x0c\x85  ]", text):
-        line = raw.strip()
+        line = raw.strip() if raw.isascii() else raw.translate(_HIDDEN).strip()
         if not line:
             if not fence:
                 yield "", False
@@ -130,23 +154,44 @@ def _lines(text: str):
 _MARKER = re.compile(r"^(?:(?:[-*+•>]|\d+[.)]|#{1,6})\s+)+(?:`[^`]*`:\s+)?")
 
 
-def segments(text: str, classer: Classer, most: int = 60):
+def segments(text: str, classer: Classer, most: int = 60, short: int = 8):
     """(class ids, characters) of the segments of a text, and the characters of its structure.
 
-    A segment is a line without its list or heading mark; longer lines are cut
-    into even pieces of at most ``most`` tokens.
+    A segment is a line without its list or heading mark, longer lines in even
+    pieces of at most ``most`` tokens. Adjacent lines of fewer than ``short`` tokens that
+    end no sentence are read as one, since a list of keywords may stand in
+    one line or in many.
     """
     segs, structure = [], 0
+    held: list[str] = []
     classer.begin()
-    for line, fixed in _lines(text):
-        got = [] if fixed or not line else classer(_MARKER.sub("", line))
+
+    def add(line: str, chars: int) -> None:
+        got = classer(line)
         if not got:
-            structure += len(line)
-            continue
+            nonlocal structure
+            structure += chars
+            return
         step = -(-len(got) // -(-len(got) // most))
         for k in range(0, len(got), step):
             part = got[k : k + step]
-            segs.append((part, len(line) * len(part) / len(got)))
+            segs.append((part, chars * len(part) / len(got)))
+
+    def flush() -> None:
+        if held:
+            add(" ".join(_MARKER.sub("", h) for h in held), sum(map(len, held)))
+            held.clear()
+
+    for line, fixed in _lines(text):
+        if fixed or not line:
+            flush()
+            structure += len(line)
+        elif line.count(" ") < short and len(line) < 12 * short and line[-1] not in ".!?:;" and line[0] != "#":
+            held.append(line)
+        else:
+            flush()
+            add(_MARKER.sub("", line), len(line))
+    flush()
     return segs, structure
 
 
@@ -159,10 +204,9 @@ def _codes(ids: np.ndarray) -> np.ndarray:
 class ClassModel:
     """Interpolated 4-gram model with its mean surprise over the text it was counted on."""
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, weights=(0.02, 0.08, 0.3, 0.6)):
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, trust: float = 1e-3):
         order = np.argsort(codes)
         self.codes, self.counts = codes[order].astype(np.int64), counts[order].astype(np.float64)
-        self.weights = weights
         self.tri = np.bincount(self.codes // CLASSES, self.counts, CLASSES**3)
         self.tri_end = np.bincount(self.codes % CLASSES**3, self.counts, CLASSES**3)
         self.bi = np.bincount(self.codes // CLASSES % CLASSES**2, self.counts, CLASSES**2)
@@ -170,35 +214,36 @@ class ClassModel:
         self.uni = np.bincount(self.codes // CLASSES % CLASSES, self.counts, CLASSES)
         self.end = np.bincount(self.codes % CLASSES, self.counts, CLASSES)
         self.total = max(1.0, self.counts.sum())
+        self.prior = trust * self.total
         self.mean = float((self.surprise(self.codes) * self.counts).sum() / self.total) if len(self.codes) else 0.0
 
     def surprise(self, codes: np.ndarray) -> np.ndarray:
         """Bits of the last class of each 4-gram given the first three."""
-        div = lambda a, b: a / np.maximum(b, 1)
-        w = codes % CLASSES
-        at = np.minimum(np.searchsorted(self.codes, codes), max(0, len(self.codes) - 1))
-        four = np.where(self.codes[at] == codes, self.counts[at], 0.0) if len(self.codes) else np.zeros(len(codes))
-        three, two = codes % CLASSES**3, codes % CLASSES**2
-        parts = (
-            (self.end[w] + 0.5) / (self.total + 0.5 * CLASSES),
-            div(self.bi_end[two], self.uni[two // CLASSES]),
-            div(self.tri_end[three], self.bi[three // CLASSES]),
-            div(four, self.tri[codes // CLASSES]),
-        )
-        return -np.log2(sum(l * p for l, p in zip(self.weights, parts)))
+        w, three, two = codes % CLASSES, codes % CLASSES**3, codes % CLASSES**2
+        if len(self.codes):
+            at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+            four = np.where(self.codes[at] == codes, self.counts[at], 0.0)
+        else:
+            four = np.zeros(len(codes))
+        p = (self.end[w] + 0.5) / (self.total + 0.5 * CLASSES)
+        # a history counts by its own frequency: one that prose hardly knows leaves the word to shorter histories
+        for seen, history in ((self.bi_end[two], self.uni[two // CLASSES]), (self.tri_end[three], self.bi[three // CLASSES]), (four, self.tri[codes // CLASSES])):
+            p = (seen + self.prior * p) / (history + self.prior)
+        return -np.log2(p)
 
 
 def is_prose(ids: list[int]) -> bool:
     """Whether a sentence may teach the model: enough function words, not mostly words repeated."""
-    return len(ids) > 7 and sum(i < _FUNCTION for i in ids) >= 0.15 * len(ids) and ids.count(_ID["again"]) <= 0.25 * len(ids)
+    return len(ids) > 7 and sum(i < _FUNCTION for i in ids) >= 0.18 * len(ids) and ids.count(_ID["again"]) <= 0.25 * len(ids)
 
 
 def class_counts(docs: DataFrame, text: str = "text") -> pd.DataFrame:
-    """Counts of class 4-grams over the prose sentences of all documents."""
+    """Counts of class 4-grams by language over the prose sentences of all documents: lang, code, n."""
+    size = CLASSES**4
 
     def count(batches):
-        classer, total = Classer(), np.zeros(0, np.int64)
-        codes, counts = total, total
+        classer = Classer()
+        keys = counts = np.zeros(0, np.int64)
         for b in batches:
             seqs = []
             for t in b["t"]:
@@ -207,19 +252,29 @@ def class_counts(docs: DataFrame, text: str = "text") -> pd.DataFrame:
                     if not fixed and len(line) > 40 and _SENTENCE.search(line):
                         ids = classer(_MARKER.sub("", line))
                         if is_prose(ids):
-                            seqs.append(_codes(np.asarray(ids, np.int64)))
+                            seqs.append(_codes(np.asarray(ids, np.int64)) + size * int(np.argmax(classer.votes)))
             if seqs:
                 c, n = np.unique(np.concatenate(seqs), return_counts=True)
-                both, at = np.unique(np.concatenate([codes, c]), return_inverse=True)
+                keys, at = np.unique(np.concatenate([keys, c]), return_inverse=True)
                 counts = np.bincount(at, np.concatenate([counts, n])).astype(np.int64)
-                codes = both
-        yield pd.DataFrame({"code": codes, "n": counts})
+        yield pd.DataFrame({"lang": keys // size, "code": keys % size, "n": counts})
 
     rows = docs.select(F.col(text).alias("t")).where("t is not null")
-    return rows.mapInPandas(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    return rows.mapInPandas(count, "lang int, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()
+
+
+def balanced(counts: pd.DataFrame) -> ClassModel:
+    """One model in which every language that has at least a hundredth of the prose weighs the same."""
+    if counts.empty:
+        return ClassModel(np.zeros(0, np.int64), np.zeros(0))
+    total = counts.groupby("lang")["n"].transform("sum")
+    kept = counts[total >= 0.01 * counts["n"].sum()]
+    share = kept["n"] / total[kept.index]
+    merged = share.groupby(kept["code"]).sum() * counts["n"].sum() / kept["lang"].nunique()
+    return ClassModel(merged.index.to_numpy(np.int64), merged.to_numpy(np.float64))
 
 
-def stuffed_pages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = 0.5, bound: float = 1.5, prior: int = 4, least: int = 40) -> DataFrame:
+def stuffed_pages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = 0.5, bound: float = 1.6, prior: int = 4, least: int = 40) -> DataFrame:
     """(doc_id, share, worst): pages of whose characters more than ``share`` stand in segments that are no prose.
 
     A segment's perplexity counts as abnormal if its mean surprise lies ``bound``
@@ -232,7 +287,7 @@ def stuffed_pages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     if not 0 <= share < 1 or bound <= 0:
         raise ValueError("share must be in [0, 1) and bound positive")
     got = class_counts(docs, text)
-    model = docs.sparkSession.sparkContext.broadcast(ClassModel(got["code"].to_numpy(np.int64), got["n"].to_numpy(np.int64)))
+    model = docs.sparkSession.sparkContext.broadcast(balanced(got))
 
     def run(batches):
         m, classer = model.value, Classer()
