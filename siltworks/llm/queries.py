@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.urls import named_section, normal_url
+from ..functions.urls import BLANKS, named_section, normal_url
 from .cross_split import leak_report, overlaps, record_pairs
 from .defects import flag_defects
 from .encoding import encode_corpus
@@ -13,6 +13,7 @@ from .leakage import leaked_items, without_leaks
 from .page_body import main_body, page_furniture
 from .splits import entity_map, related_splits
 from .stuffing import stuffed_pages
+from .survivors import same_question_groups, survivors
 from .splitting import split_oversized
 
 QUERIES: dict = {}
@@ -119,3 +120,25 @@ def p6_found(spark, d):
 @query
 def p6_bodies(spark, d):
     return main_body(table(spark, d, "canonical").select("record_id", "source_chunk").distinct()).select("record_id", F.md5("body").alias("body_md5"), F.length("body").alias("chars"))
+
+
+def _page_groups(spark, d):
+    c = table(spark, d, "canonical")
+    groups = same_question_groups(c, normal_url(F.col("source_url")))
+    once = c.select("record_id", "answer", "question", "timestamp", "source_chunk", "generation_model").join(groups, "record_id").dropDuplicates(["record_id"])
+    sizes = groups.groupBy("group").agg(F.count("*").alias("n")).where("n > 1")
+    length = F.length(F.btrim(F.coalesce("answer", F.lit("")), F.lit(BLANKS)))
+    return once.join(sizes.select("group"), "group", "left_semi").withColumn("instant", F.expr("try_to_timestamp(timestamp)")).withColumn("chars", length)
+
+
+@query
+def p4_found(spark, d):
+    bundles = {"answer": (["answer", "source_chunk", "generation_model"], [F.col("chars"), F.col("instant")]), "question": (["question", "timestamp"], [F.col("instant")])}
+    return survivors(_page_groups(spark, d), "group", "record_id", bundles).select(F.col("record_first").alias("group_first"), "answer_from", "question_from")
+
+
+@query
+def p4_consistent(spark, d):
+    bundles = {"answer": (["answer", "source_chunk", "generation_model"], [F.col("chars"), F.col("instant")]), "question": (["question", "generation_model"], [F.col("instant")])}
+    out = survivors(_page_groups(spark, d), "group", "record_id", bundles, dependencies=[("generation_model", "source_chunk")])
+    return out.select(F.col("record_first").alias("group_first"), "answer_from", "question_from")
