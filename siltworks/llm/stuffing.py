@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut
 from .defects import _WORD_LANGS, FUNCTION_WORDS
 from .leakage import LOOKALIKES
 
@@ -29,10 +30,19 @@ CLASSES = 48
 _FUNCTION = 24  # function words share this many classes
 _NAMES = ["edge", "low", "cap", "upper", "num", "ident", "url", "link", "tag", "sku", "host", "other", ",", ".", ":", ";", "bullet", "bar", "dash", "quote", "mark", "mixed", "again", "run"]
 _ID = {n: _FUNCTION + i for i, n in enumerate(_NAMES)}
-_TOKEN = re.compile(
-    r"(?P<link>!?\[[^\]\[\n]*\]\([^()\s]*(?:\s+\"[^\"\n]*\")?\))|(?P<url>(?:https?://|www\.)\S+)|(?P<tag>#[^\W_]\w*)|(?P<ident>`[^`\n]*`|\w+(?:_\w+)+)"
-    r"|(?P<sku>\b[A-Z]{1,5}-?\d{2,}\b)|(?P<host>\b[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}\b)|(?P<num>\d[\d.,:/]*)|(?P<word>[^\W\d_]+(?:['’][^\W\d_]+)*)|(?P<p>[^\w\s])"
-)
+_KINDS = {
+    "link": r"!?\[[^\]\[\n]*\]\([^()\s]*(?:\s+\"[^\"\n]*\")?\)",
+    "url": r"(?:https?://|www\.)\S+",
+    "tag": r"#[^\W_]\w*",
+    "ident": r"`[^`\n]*`|[^\W_]+(?:_\w+)+",
+    "sku": r"\b[A-Z]{1,5}-?\d{2,}\b",
+    "host": r"\b[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}\b",
+    "num": r"\d[\d.,:/]*",
+    "word": r"[^\W\d_]+(?:['’][^\W\d_]+)*",
+    "p": r"[^\w\s]",
+}
+_TOKEN = re.compile("|".join(_KINDS.values()))
+_KIND = re.compile("|".join(f"(?P<{k}>{v})" for k, v in _KINDS.items()))
 _PUNCT = {",": ",", ".": ".", "!": ".", "?": ".", ":": ":", ";": ";", "•": "bullet", "·": "bullet", "*": "bullet", "|": "bar", "/": "bar", ">": "bar", "»": "bar", "-": "dash", "–": "dash", "—": "dash", '"': "quote", "'": "quote", "`": "quote", "“": "quote", "”": "quote", "(": "quote", ")": "quote"}
 _FENCE = re.compile(r"^\s*(?:```|~~~)")
 _SENTENCE = re.compile(r"^\W*[^\W\d_].*[.!?][\"'”’)\]*_]*$")
@@ -82,11 +92,11 @@ class Classer:
 
     A content word among the last ``memory`` ones of its text is of class
     "again"; from the ``longest`` + 1st on, content words in unbroken row are of class
-    "run", which a 4-gram could not tell by itself.
+    "run", which a 4-gram could not tell by itself. Tokens are looked up once, up to a bound.
     """
 
     def __init__(self, bound: int = 200_000, memory: int = 30, longest: int = 7):
-        self.known: dict[str, tuple[int, str, int]] = {}
+        self.known: dict[str, tuple[int, str | None, int]] = {}
         self.bound, self.memory, self.longest = bound, memory, longest
         self.begin()
 
@@ -95,35 +105,38 @@ class Classer:
         self.last: dict[str, int] = {}
         self.at = 0
 
+    def _look(self, t: str) -> tuple[int, str | None, int]:
+        """Class, lower form of a word, and the language that a word tells."""
+        kind = _KIND.match(t).lastgroup
+        if kind == "word":
+            low = t.lower()
+            got = (_word_class(t), low, _TELLS.get(_bare(low), -1))
+        else:
+            got = (_ID[_PUNCT.get(t, "mark")] if kind == "p" else _ID[kind], None, -1)
+        if len(self.known) < self.bound:
+            self.known[t] = got
+        return got
+
     def __call__(self, line: str) -> list[int]:
-        out, known, last, at, memory, again, row = [], self.known, self.last, self.at, self.memory, _ID["again"], 0
+        out = []
+        known, last, at, memory, longest, row = self.known, self.last, self.at, self.memory, self.longest, 0
+        again, run = _ID["again"], _ID["run"]
         votes = self.votes = [0] * len(FUNCTION_WORDS)
-        for m in _TOKEN.finditer(line):
-            kind, t = m.lastgroup, m.group()
-            if kind == "word":
-                got = known.get(t)
-                if got is None:
-                    low = t.lower()
-                    got = (_word_class(t), low, _TELLS.get(_bare(low), -1))
-                    if len(known) < self.bound:
-                        known[t] = got
-                c, low, tells = got
-                if tells >= 0:
-                    votes[tells] += 1
-                if c >= _FUNCTION:
-                    at += 1
-                    row += 1
-                    if row > self.longest:
-                        c = _ID["run"]
-                    elif at - last.get(low, -memory) < memory:
-                        c = again
-                    last[low] = at
-                else:
-                    row = 0
-            elif kind == "p":
-                c, row = _ID[_PUNCT.get(t, "mark")], 0
+        for t in _TOKEN.findall(line):
+            got = known.get(t)
+            c, low, tells = got if got is not None else self._look(t)
+            if tells >= 0:
+                votes[tells] += 1
+            if low is None or c < _FUNCTION:
+                row = 0
             else:
-                c, row = _ID[kind], 0
+                at += 1
+                row += 1
+                if row > longest:
+                    c = run
+                elif at - last.get(low, -memory) < memory:
+                    c = again
+                last[low] = at
             out.append(c)
         self.at = at
         return out
@@ -155,12 +168,12 @@ _MARKER = re.compile(r"^(?:(?:[-*+•>]|\d+[.)]|#{1,6})\s+)+(?:`[^`]*`:\s+)?")
 
 
 def segments(text: str, classer: Classer, most: int = 60, short: int = 8):
-    """(class ids, characters) of the segments of a text, and the characters of its structure.
+    """(class ids, characters, language) of the segments of a text, and the characters of its structure.
 
     A segment is a line without its list or heading mark, longer lines in even
     pieces of at most ``most`` tokens. Adjacent lines of fewer than ``short`` tokens that
     end no sentence are read as one, since a list of keywords may stand in
-    one line or in many.
+    one line or in many. The language is -1 unless the line is a prose sentence.
     """
     segs, structure = [], 0
     held: list[str] = []
@@ -172,10 +185,11 @@ def segments(text: str, classer: Classer, most: int = 60, short: int = 8):
             nonlocal structure
             structure += chars
             return
+        lang = classer.votes.index(max(classer.votes)) if chars > 40 and is_prose(got) and _SENTENCE.search(line) else -1
         step = -(-len(got) // -(-len(got) // most))
         for k in range(0, len(got), step):
             part = got[k : k + step]
-            segs.append((part, chars * len(part) / len(got)))
+            segs.append((part, chars * len(part) / len(got), lang))
 
     def flush() -> None:
         if held:
@@ -186,7 +200,7 @@ def segments(text: str, classer: Classer, most: int = 60, short: int = 8):
         if fixed or not line:
             flush()
             structure += len(line)
-        elif line.count(" ") < short and len(line) < 12 * short and line[-1] not in ".!?:;" and line[0] != "#":
+        elif len(line) < 12 * short and line[-1] not in ".!?:;" and line[0] != "#" and line.count(" ") < short:
             held.append(line)
         else:
             flush()
@@ -195,10 +209,17 @@ def segments(text: str, classer: Classer, most: int = 60, short: int = 8):
     return segs, structure
 
 
-def _codes(ids: np.ndarray) -> np.ndarray:
-    """4-gram codes of one sequence, begun by three edges."""
-    padded = np.concatenate([np.full(3, _ID["edge"]), ids])
-    return ((padded[:-3] * CLASSES + padded[1:-2]) * CLASSES + padded[2:-1]) * CLASSES + padded[3:]
+def _codes(ids: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """4-gram codes of sequences laid end to end, each begun by three edges."""
+    starts = np.cumsum(lens) - lens
+    place = np.arange(len(ids)) - np.repeat(starts, lens)
+    code = ids.astype(np.int64)
+    for back in (1, 2, 3):
+        before = np.full(len(ids), _ID["edge"], np.int64)
+        before[back:] = ids[:-back] if len(ids) > back else before[back:]
+        before[place < back] = _ID["edge"]
+        code += before * CLASSES**back
+    return code
 
 
 class ClassModel:
@@ -237,30 +258,43 @@ def is_prose(ids: list[int]) -> bool:
     return len(ids) > 7 and sum(i < _FUNCTION for i in ids) >= 0.18 * len(ids) and ids.count(_ID["again"]) <= 0.25 * len(ids)
 
 
-def class_counts(docs: DataFrame, text: str = "text") -> pd.DataFrame:
+_CLASSED = "doc_id long, structure int, ids binary, lens array<int>, chars array<float>, langs array<int>"
+
+
+def classed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Of each text its class ids, one byte a token, and its segments."""
+
+    def run(batches):
+        classer = Classer()
+        for b in batches:
+            out = []
+            for i, t in zip(b["i"], b["t"]):
+                segs, structure = segments(t, classer)
+                out.append((i, structure, bytes(x for s in segs for x in s[0]), [len(s[0]) for s in segs], [s[1] for s in segs], [s[2] for s in segs]))
+            yield pd.DataFrame(out, columns=["doc_id", "structure", "ids", "lens", "chars", "langs"])
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t")).where("t is not null and i is not null")
+    return rows.mapInPandas(run, _CLASSED)
+
+
+def class_counts(classes: DataFrame) -> pd.DataFrame:
     """Counts of class 4-grams by language over the prose sentences of all documents: lang, code, n."""
     size = CLASSES**4
 
     def count(batches):
-        classer = Classer()
         keys = counts = np.zeros(0, np.int64)
         for b in batches:
-            seqs = []
-            for t in b["t"]:
-                classer.begin()
-                for line, fixed in _lines(t):
-                    if not fixed and len(line) > 40 and _SENTENCE.search(line):
-                        ids = classer(_MARKER.sub("", line))
-                        if is_prose(ids):
-                            seqs.append(_codes(np.asarray(ids, np.int64)) + size * int(np.argmax(classer.votes)))
-            if seqs:
-                c, n = np.unique(np.concatenate(seqs), return_counts=True)
-                keys, at = np.unique(np.concatenate([keys, c]), return_inverse=True)
-                counts = np.bincount(at, np.concatenate([counts, n])).astype(np.int64)
+            ids = np.frombuffer(b"".join(b["ids"]), np.uint8)
+            if not len(ids):
+                continue
+            lens, langs = np.concatenate([*b["lens"]]).astype(np.int64), np.concatenate([*b["langs"]]).astype(np.int64)
+            lang = np.repeat(langs, lens)
+            c, n = np.unique((_codes(ids, lens) + size * lang)[lang >= 0], return_counts=True)
+            keys, at = np.unique(np.concatenate([keys, c]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, n]), len(keys)).astype(np.int64)
         yield pd.DataFrame({"lang": keys // size, "code": keys % size, "n": counts})
 
-    rows = docs.select(F.col(text).alias("t")).where("t is not null")
-    return rows.mapInPandas(count, "lang int, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()
+    return classes.select("ids", "lens", "langs").mapInPandas(count, "lang int, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()
 
 
 def balanced(counts: pd.DataFrame) -> ClassModel:
@@ -286,31 +320,26 @@ def stuffed_pages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     """
     if not 0 <= share < 1 or bound <= 0:
         raise ValueError("share must be in [0, 1) and bound positive")
-    got = class_counts(docs, text)
-    model = docs.sparkSession.sparkContext.broadcast(balanced(got))
+    classes = cut(classed(docs, doc_id, text))
+    model = docs.sparkSession.sparkContext.broadcast(balanced(class_counts(classes)))
 
     def run(batches):
-        m, classer = model.value, Classer()
+        m = model.value
         for b in batches:
-            out, flat, meta = [], [], []
-            for i, t in zip(b["i"], b["t"]):
-                segs, structure = segments(t, classer)
-                total = structure + sum(c for _, c in segs)
-                if total < least:
-                    continue
-                for ids, c in segs:
-                    flat.append(_codes(np.asarray(ids, np.int64)))
-                    meta.append((i, total, c, sum(x == _ID["other"] for x in ids) > 0.5 * len(ids)))
-            if flat:
-                n = np.asarray([len(x) for x in flat])
-                s = m.surprise(np.concatenate(flat))
-                dev = np.add.reduceat(s - m.mean, np.concatenate([[0], np.cumsum(n)[:-1]])) / (n + prior)
-                p = pd.DataFrame(meta, columns=["doc_id", "total", "c", "foreign"]).assign(dev=dev)
-                p["bad"] = np.where((p["dev"].abs() >= bound) & ~p["foreign"], p["c"], 0)
-                g = p.groupby("doc_id").agg(total=("total", "first"), bad=("bad", "sum"), worst=("dev", "max")).reset_index()
-                g["share"] = g["bad"] / g["total"]
-                out = g[g["share"] > share][["doc_id", "share", "worst"]]
-                yield out
-
-    rows = docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t")).where("t is not null and i is not null")
-    return rows.mapInPandas(run, "doc_id long, share double, worst double").groupBy("doc_id").agg(F.max("share").alias("share"), F.max("worst").alias("worst"))
+            ids = np.frombuffer(b"".join(b["ids"]), np.uint8)
+            if not len(ids):
+                continue
+            n = np.asarray([len(x) for x in b["lens"]])
+            lens = np.concatenate([*b["lens"]]).astype(np.int64)
+            at = np.cumsum(lens) - lens
+            dev = np.add.reduceat(m.surprise(_codes(ids, lens)) - m.mean, at) / (lens + prior)
+            foreign = np.add.reduceat((ids == _ID["other"]).astype(np.int64), at) > 0.5 * lens
+            p = pd.DataFrame({"doc_id": np.repeat(b["doc_id"].to_numpy(), n), "chars": np.concatenate([*b["chars"]]), "dev": dev})
+            p["bad"] = np.where((np.abs(dev) >= bound) & ~foreign, p["chars"], 0.0)
+            p["row"] = np.repeat(np.arange(len(b)), n)
+            g = p.groupby("row").agg(doc_id=("doc_id", "first"), chars=("chars", "sum"), bad=("bad", "sum"), worst=("dev", "max"))
+            g["total"] = g["chars"] + b["structure"].to_numpy()[g.index]
+            g["share"] = g["bad"] / g["total"]
+            yield g.loc[(g["share"] > share) & (g["total"] >= least), ["doc_id", "share", "worst"]]
+
+    return classes.mapInPandas(run, "doc_id long, share double, worst double").groupBy("doc_id").agg(F.max("share").alias("share"), F.max("worst").alias("worst"))
