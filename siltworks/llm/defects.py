@@ -164,7 +164,9 @@ def is_copy(question: str, answer: str) -> bool:
         return False
     if len(set(a) - set(q)) > 6:
         return False
-    if residue(" ".join(q), " ".join(a)) > 0.35:
+    said = " ".join(a)
+    # a few bytes for lead words weigh little against a long question, much against a short one
+    if residue(" ".join(q), said) > 0.35 + 8 / len(said.encode()):
         return False
     # little is left: it must be lead words, nothing that answers
     left = list(q)

@@ -82,17 +82,17 @@ def tree(html: str) -> Node:
     return b.root
 
 
-def shown(node: Node, furniture: bool) -> bool:
-    """Whether a page shows an element; with ``furniture``, whether it is also main content."""
+def shown(node: Node, main_only: bool) -> bool:
+    """Whether a page shows an element; with ``main_only``, whether it is also no landmark of page furniture."""
     a = node.attrs
     if node.tag in HIDDEN or "hidden" in a or a.get("aria-hidden", "").lower() == "true":
         return False
     if re.search(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", a.get("style", ""), re.I):
         return False
-    return not furniture or (node.tag not in FURNITURE and a.get("role", "").lower() not in ROLES)
+    return not main_only or (node.tag not in FURNITURE and a.get("role", "").lower() not in ROLES)
 
 
-def render(node: Node, furniture: bool = True) -> str:
+def render(node: Node, main_only: bool = True) -> str:
     """Visible text of a tree: blocks apart, list marks, table cells aligned in columns."""
     out: list[str] = []
 
@@ -103,11 +103,11 @@ def render(node: Node, furniture: bool = True) -> str:
             return "\n"
         if n.tag == "img":
             return n.attrs.get("alt", "")
-        return "".join(text_of(c) for c in n.children) if shown(n, furniture) else ""
+        return "".join(text_of(c) for c in n.children) if shown(n, main_only) else ""
 
     def rows_of(n) -> Iterator[Node]:
         for c in n.children:
-            if isinstance(c, Node) and shown(c, furniture):
+            if isinstance(c, Node) and shown(c, main_only):
                 if c.tag == "tr":
                     yield c
                 elif c.tag in ("thead", "tbody", "tfoot"):
@@ -135,14 +135,14 @@ def render(node: Node, furniture: bool = True) -> str:
         count = 0
         for c in n.children:
             if isinstance(c, str) or c.tag not in BLOCKS:
-                if isinstance(c, Node) and any(isinstance(x, Node) and x.tag in BLOCKS for x in c.children) and shown(c, furniture):
+                if isinstance(c, Node) and any(isinstance(x, Node) and x.tag in BLOCKS for x in c.children) and shown(c, main_only):
                     flush()
                     walk(c, depth, item)
                 else:
                     inline.append(text_of(c))
                 continue
             flush()
-            if not shown(c, furniture):
+            if not shown(c, main_only):
                 continue
             if c.tag == "pre":
                 block("".join(x if isinstance(x, str) else text_of(x) for x in c.children).strip("\n").split("\n"))
@@ -153,7 +153,7 @@ def render(node: Node, furniture: bool = True) -> str:
                 block([" | ".join(v.ljust(wide[k]) for k, v in enumerate(r)).rstrip() for r in cells])
             elif c.tag in ("ul", "ol"):
                 lines = []
-                for li in (x for x in c.children if isinstance(x, Node) and shown(x, furniture)):
+                for li in (x for x in c.children if isinstance(x, Node) and shown(x, main_only)):
                     count += 1
                     held, out[:] = list(out), []
                     walk(li, depth + 1, "")

@@ -316,7 +316,7 @@ def stuffed_pages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     added, so that short segments do not count by chance. Null, empty and blank texts,
     and texts of fewer than ``least`` characters, are no pages. Characters are counted without
     the white space around lines. Segments mostly in scripts that the model has
-    no function words of are not judged. A document delivered twice gives one row.
+    no function words of are not judged, nor is anything where no document holds a prose sentence. A document delivered twice gives one row.
     """
     if not 0 <= share < 1 or bound <= 0:
         raise ValueError("share must be in [0, 1) and bound positive")
@@ -335,7 +335,8 @@ def stuffed_pages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
             dev = np.add.reduceat(m.surprise(_codes(ids, lens)) - m.mean, at) / (lens + prior)
             foreign = np.add.reduceat((ids == _ID["other"]).astype(np.int64), at) > 0.5 * lens
             p = pd.DataFrame({"doc_id": np.repeat(b["doc_id"].to_numpy(), n), "chars": np.concatenate([*b["chars"]]), "dev": dev})
-            p["bad"] = np.where((np.abs(dev) >= bound) & ~foreign, p["chars"], 0.0)
+            # without any prose to learn from nothing is judged
+            p["bad"] = np.where((np.abs(dev) >= bound) & ~foreign & (len(m.codes) > 0), p["chars"], 0.0)
             p["row"] = np.repeat(np.arange(len(b)), n)
             g = p.groupby("row").agg(doc_id=("doc_id", "first"), chars=("chars", "sum"), bad=("bad", "sum"), worst=("dev", "max"))
             g["total"] = g["chars"] + b["structure"].to_numpy()[g.index]
