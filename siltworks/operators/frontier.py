@@ -67,7 +67,7 @@ def claim(front: DataFrame, claimed: DataFrame, at: Column) -> DataFrame:
     """Frontier with the claimed urls in progress."""
     hit = claimed.select("url", F.lit(True).alias("_hit"))
     j = front.join(hit, "url", "left")
-    return j.withColumn("status", F.when("_hit", "in_progress").otherwise(F.col("status"))).withColumn("updated_at", F.when("_hit", at).otherwise(F.col("updated_at"))).select(*front.columns)
+    return j.withColumn("status", F.when(F.col("_hit"), "in_progress").otherwise(F.col("status"))).withColumn("updated_at", F.when(F.col("_hit"), at).otherwise(F.col("updated_at"))).select(*front.columns)
 
 
 def resolve(front: DataFrame, outcomes: DataFrame, at: Column, follow: float = 0.0, max_retries: int = MAX_RETRIES) -> DataFrame:

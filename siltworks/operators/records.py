@@ -162,7 +162,7 @@ def mine_triplets(df: DataFrame, order: list[Column], seed: int = 42) -> DataFra
     total = parts.agg(F.sum("pn").alias("total"))
     starts = inner.join(F.broadcast(before), "_part").select("source_url", "n", (F.col("_before") + F.coalesce("_in", F.lit(0))).alias("start"))
     numbered = rows.withColumn("_at", F.row_number().over(Window.partitionBy("source_url").orderBy("_ord")) - 1).join(starts, "source_url").crossJoin(F.broadcast(total))
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.to_json("_ord")), F.col("total") - F.col("n"))
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.to_json("_ord")), F.greatest(F.col("total") - F.col("n"), F.lit(1)))
     asked = numbered.where("total > n").withColumn("_want", F.when(draw < F.col("start"), draw).otherwise(draw + F.col("n")))
     pool = numbered.select((F.col("start") + F.col("_at")).alias("_want"), F.col("source_chunk").alias("negative"))
     return asked.join(pool, "_want").select(F.col("question").alias("anchor"), F.col("source_chunk").alias("positive"), "negative")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..checkpoints import cut
 from ..operators.records import SCHEMA
 
 
@@ -48,7 +49,8 @@ def append_new_pages(spark: SparkSession, records: DataFrame, path: str) -> Data
     A page is written once however often it is delivered, which makes retried batches harmless.
     """
     fresh = records.join(written_urls(spark, path), "source_url", "left_anti").select(*records.columns)
-    fresh = fresh.persist()
+    # written first elsewhere: a cached plan would be made again, now without the rows, once its sink has changed
+    fresh = cut(fresh)
     fresh.write.mode("append").json(path)
     return fresh
 

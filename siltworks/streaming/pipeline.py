@@ -29,11 +29,8 @@ def run(stream: DataFrame, extract: Callable[[DataFrame], DataFrame], sink: str,
 
     def each(batch: DataFrame, number: int) -> None:
         fresh = append_new_pages(batch.sparkSession, extract(batch), sink)
-        try:
-            if also:
-                also(fresh, number)
-        finally:
-            fresh.unpersist()
+        if also:
+            also(fresh, number)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (w.trigger(processingTime="1 second") if forever else w.trigger(availableNow=True)).start()
