@@ -50,7 +50,7 @@ WITH items AS (
   UNION ALL
   SELECT DISTINCT 'canonical', record_id, source_chunk FROM canonical)
 SELECT item_kind, item_id,
-  CASE WHEN list_max(list_transform(regexp_split_to_array(t, '[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), x -> length(x))) > 2000
+  CASE WHEN list_max(list_transform(regexp_split_to_array(t, '[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), lambda x: length(x))) > 2000
     THEN 'forced' ELSE 'natural' END AS cut
 FROM items WHERE length(t) > 2000
 """
@@ -68,6 +68,16 @@ def p2_found(spark, d):
     return a.join(b, "component").where("section_a < section_b").select("section_a", "section_b")
 
 
+SQL["p2_found"] = r"""
+WITH RECURSIVE t AS (SELECT trim(source_url, ' ' || chr(9) || chr(10) || chr(13)) AS u, trim(lower(section), ' /' || chr(9) || chr(10) || chr(13)) AS s FROM canonical),
+r AS (SELECT DISTINCT s, lower(regexp_extract(u, '^((?i:https?)://[^/?#]*)', 1)) || rtrim(regexp_extract(u, '^(?i:https?)://[^/?#]*([^?#]*)', 1), '/')
+  || '?' || array_to_string(list_sort(string_split(regexp_extract(u, '^[^?#]*\?([^#]*)', 1), '&')), '&') AS page FROM t WHERE s NOT IN ('', 'unknown', 'root')),
+e AS (SELECT DISTINCT a.s AS a, b.s AS b FROM r a JOIN r b ON a.page = b.page WHERE a.s <> b.s),
+reach(a, b) AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b)
+SELECT DISTINCT a AS section_a, b AS section_b FROM reach WHERE a < b
+"""
+
+
 @query
 def p2_splits(spark, d):
     return related_splits(table(spark, d, "canonical"), "record_id", _section_keys())
