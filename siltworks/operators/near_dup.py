@@ -69,7 +69,10 @@ def near_duplicates(df: DataFrame, field: str = "answer", threshold: float = ANS
                     out.append((pdf["g"].iloc[0], firsts[i], firsts[j], r))
         return pd.DataFrame(out, columns=["g", "a", "b", "ratio"])
 
-    near = spread.groupBy("g", "x", "y").applyInPandas(compare, "g string, a long, b long, ratio double")
+    # comparing costs far more than its input's bytes tell, so the number of tasks is not left to their size
+    spark = df.sparkSession
+    tasks = max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    near = spread.repartition(tasks, "g", "x", "y").groupBy("g", "x", "y").applyInPandas(compare, "g string, a long, b long, ratio double")
     member = rows.join(classes.select("g", "t", "first"), ["g", "t"]).select("g", "s", "first")
     left, right = member.select("g", F.col("first").alias("a"), F.col("s").alias("p")), member.select("g", F.col("first").alias("b"), F.col("s").alias("q"))
     crossed = near.join(left, ["g", "a"]).join(right, ["g", "b"]).select(F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "ratio")

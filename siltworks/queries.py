@@ -546,7 +546,7 @@ def parsed_pairs(spark, d):
     return p.select("record_id", F.col("p").isNull().alias("malformed"), F.get(F.col("p"), F.lit(0))["instruction"].alias("instruction"), F.get(F.col("p"), F.lit(0))["response"].alias("response"))
 
 
-sql("parsed_pairs", f"WITH {_RECS_SQL} SELECT record_id, record_id % 4 = 3 AS malformed, CASE WHEN record_id % 4 < 3 AND answer IS NOT NULL THEN question END AS instruction, CASE WHEN record_id % 4 < 3 THEN answer END AS response FROM recs")
+sql("parsed_pairs", f"WITH {_RECS_SQL} SELECT record_id, record_id % 4 = 3 AS malformed, CASE WHEN record_id % 4 < 3 THEN question END AS instruction, CASE WHEN record_id % 4 < 3 THEN answer END AS response FROM recs")
 
 
 @query
