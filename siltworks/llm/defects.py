@@ -76,12 +76,39 @@ _IDENT = re.compile(r"[`“”\"'‘’«»]*\b[a-z0-9]+(?:_[a-z0-9]+)+\b[`“
 
 _CODE = re.compile(r"```.*?(?:```|$)|`[^`\n]*`", re.S)
 
-BUCKETS = 1 << 18
-"""Rows of the terminal-context model; words share one by chance."""
+WORDS, PAIRS = 1 << 20, 1 << 19
+BUCKETS = WORDS + PAIRS
+"""Rows of the terminal-context model: a part in which each word has two rows, and one for word pairs."""
 
 
-def bucket(word: str) -> int:
-    return crc32(word.encode()) & (BUCKETS - 1)
+def buckets(word: str) -> tuple[int, int]:
+    """The two rows of a word; it is seldom that both are shared with others by chance."""
+    return crc32(word.encode()) & (WORDS - 1), crc32(word[::-1].encode()) & (WORDS - 1)
+
+
+def pair_bucket(before: str, word: str) -> int:
+    return WORDS + (crc32(f"{before} {word}".encode()) & (PAIRS - 1))
+
+
+class TerminalModel:
+    """How often words and word pairs end a sentence or clause.
+
+    A row counts as known only above the level that chance neighbours give it,
+    the median of its half, so that the model does not fill up with the corpus.
+    """
+
+    def __init__(self, ends: np.ndarray, mids: np.ndarray):
+        self.ends, self.all = ends, ends + mids
+        self.floor = [3 + 3 * float(np.median(self.all[:WORDS])), 3 + 3 * float(np.median(self.all[WORDS:]))]
+
+    def ends_here(self, before: str | None, word: str, share: float = 0.08) -> bool:
+        """Whether a text may end on a word: its pair decides if known, else the word; an unknown word is a cut one."""
+        if before:
+            at = pair_bucket(before, word)
+            if self.all[at] >= self.floor[1]:
+                return bool(self.ends[at] >= share * self.all[at])
+        at = min(buckets(word), key=lambda k: self.all[k])
+        return bool(self.all[at] >= self.floor[0] and self.ends[at] >= share * self.all[at])
 
 
 def visible(text: str | None) -> str:
@@ -179,7 +206,7 @@ def is_copy(question: str, answer: str) -> bool:
     return len(extra) <= 6 and len(left) <= 0.34 * len(q)
 
 
-def ends_open(text: str, ends: np.ndarray, mids: np.ndarray) -> bool:
+def ends_open(text: str, model: TerminalModel) -> bool:
     """Whether a text breaks off, by its last context."""
     t = text.rstrip()
     if "`" not in t and "~" not in t and t[-1:] in ".!?" and not t.endswith("...") and not re.search(r"(?:^|\n)\s*(?:[-*+•]|\d+[.)])$", t[-12:]):
@@ -216,14 +243,7 @@ def ends_open(text: str, ends: np.ndarray, mids: np.ndarray) -> bool:
         return True
     if w in OPEN_WORDS and w not in _MAY_END:
         return True
-    e, n = float(ends[bucket(w)]), float(mids[bucket(w)])
-    pair = f"{prev.group(1).lower()} {w}" if prev else w
-    pe, pn = float(ends[bucket(pair)]), float(mids[bucket(pair)])
-    if pe + pn >= 3:
-        return pe < 0.08 * (pe + pn)
-    if e + n >= 3:
-        return e < 0.08 * (e + n)
-    return True
+    return not model.ends_here(prev.group(1).lower() if prev else None, w)
 
 
 _TOKEN = re.compile(r"[^\W_]+")
@@ -250,14 +270,15 @@ class _Counts:
         for counts, table in ((self.pairs, self.seen), (self.last, self.ends)):
             single: Counter = Counter()
             for (x, w), n in counts.items():
-                table[bucket(f"{x} {w}")] += n
+                table[pair_bucket(x, w)] += n
                 single[w] += n
             for w, n in single.items():
-                table[bucket(w)] += n
+                for k in set(buckets(w)):
+                    table[k] += n
             counts.clear()
 
 
-def terminal_model(answers: DataFrame, answer: str = "answer") -> tuple[np.ndarray, np.ndarray]:
+def terminal_model(answers: DataFrame, answer: str = "answer") -> TerminalModel:
     """Counts by bucket: how often its words and word pairs end a sentence, and how often not.
 
     Counted over all answers, per partition first; the table has ``BUCKETS``
@@ -278,10 +299,10 @@ def terminal_model(answers: DataFrame, answer: str = "answer") -> tuple[np.ndarr
     got = parts.toPandas()
     ends, mids = np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32)
     ends[got["k"]], mids[got["k"]] = got["e"], got["m"]
-    return ends, mids
+    return TerminalModel(ends, mids)
 
 
-def defect(question: str | None, answer: str | None, ends: np.ndarray, mids: np.ndarray) -> str | None:
+def defect(question: str | None, answer: str | None, model: TerminalModel) -> str | None:
     """``empty``, ``copy``, ``refusal``, ``truncated``, ``language`` (the first that holds) or null."""
     v, q = visible(answer), question or ""
     if _hollow(v) or not _TOKEN.search(v):
@@ -290,7 +311,7 @@ def defect(question: str | None, answer: str | None, ends: np.ndarray, mids: np.
         return "copy"
     if is_refusal(v):
         return "refusal"
-    if ends_open(v, ends, mids):
+    if ends_open(v, model):
         return "truncated"
     if "`" in v:
         v = _CODE.sub(" ", v)
@@ -301,21 +322,19 @@ def defect(question: str | None, answer: str | None, ends: np.ndarray, mids: np.
     return None
 
 
-def flag_defects(df: DataFrame, record_id: str = "record_id", question: str = "question", answer: str = "answer", model: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+def flag_defects(df: DataFrame, record_id: str = "record_id", question: str = "question", answer: str = "answer", model: TerminalModel | None = None) -> DataFrame:
     """(record_id, defect) of each defective pair.
 
     A null question is compared as empty; a null answer is ``empty``. Repeated
     rows of a record give one row (the smallest defect if they differ). An empty
     table gives no rows; further columns are ignored.
     """
-    ends, mids = model or terminal_model(df, answer)
-    sc = df.sparkSession.sparkContext
-    shared = sc.broadcast((ends, mids))
+    shared = df.sparkSession.sparkContext.broadcast(model or terminal_model(df, answer))
 
     def run(batches):
-        e, m = shared.value
+        m = shared.value
         for b in batches:
-            out = [(i, d) for i, q, a in zip(b["record_id"], b["q"], b["a"]) if (d := defect(q, a, e, m))]
+            out = [(i, d) for i, q, a in zip(b["record_id"], b["q"], b["a"]) if (d := defect(q, a, m))]
             yield pd.DataFrame(out, columns=["record_id", "defect"])
 
     rows = df.select(F.col(record_id).cast("long").alias("record_id"), F.col(question).alias("q"), F.col(answer).alias("a"))

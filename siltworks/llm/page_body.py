@@ -190,13 +190,13 @@ PHRASES = (
     r"search\b.{0,60}(?:docs|manual|⌘k|ctrl|…|\.\.\.)|\[search|suche in|durchsuchen|rechercher|buscar en",
     r"(?:log|sign) (?:in|out|up)\b|login\b|anmelden|abmelden|registrieren|se connecter|connexion|s'inscrire|iniciar sesión|acceder|registrarse",
     r"you are here|sie sind hier|vous êtes ici|usted está aquí|estás aquí|startseite\s*[>»/]",
-    r".{0,80}\bcookies?\b.{0,200}(?:accept|agree|settings|decline|got it|notice|banner|reject|ablehnen|akzeptieren|zustimmen|refuser|accepter|paramètres|rechazar|aceptar)|(?:your privacy|we value your privacy|small files are kept|by browsing on|our partners set|this site stores|we use cookies|wir verwenden|diese seite speichert|ce site dépose|nous utilisons|usamos cookies|este sitio (?:guarda|usa))",
+    r".{0,200}\bcookies?\b.{0,160}(?:accept all\b.*|accept / decline|agree and continue|change settings at any time|close this banner|got it|alle akzeptieren\b.*|alle ablehnen\b.*|tout accepter\b.*|tout refuser\b.*|aceptar todo\b.*|rechazar todo\b.*)\W*$|(?:your privacy|we value your privacy|small files are kept|by browsing on|our partners set|this site (?:stores|uses)|we use cookies|wir verwenden cookies|diese seite (?:speichert|verwendet)|ce site (?:dépose|utilise)|nous utilisons des cookies|usamos cookies|este sitio (?:guarda|usa|utiliza))",
     r"(?:©|\(c\)\s*\d|copyright\b)|\d{4}\s*[·•|-].{0,60}(?:built|made|erstellt|gebaut|generated|creado|réalisé|powered)|.{0,80}(?:all rights reserved|alle rechte vorbehalten|tous droits réservés|todos los derechos reservados)",
     r"(?:last (?:updated|modified|edited|changed|reviewed)|page (?:revision|version|last)|updated on|zuletzt (?:geändert|aktualisiert)|stand:|dernière (?:mise|modification)|mis à jour|última (?:actualización|modificación)|actualizado)\b",
     r"(?:subscribe|sign up|join .{1,60}(?:meetup|newsletter|community|webinar)|follow .{1,60}(?:news|us|release|updates|twitter|mastodon|x\b)|try .{1,60}(?:free|cloud)|start your free|get started for free|abonnieren|newsletter|folgen sie|testen sie|jetzt .{1,40}(?:testen|anmelden)|abonnez|suivez|essayez|suscríb|síguenos|siga a|pruebe|prueba)\b",
     r"(?:rate this|was this (?:page|article)|did this (?:answer|help)|is this page helpful|how helpful|war diese seite|hat (?:ihnen |das )?.{0,30}geholfen|cette page vous|.{0,12}ayudó esta|¿?(?:le|te) (?:ayudó|resultó)|fue útil|diese seite bewerten|bewerten|noter cette|valore esta|[^\W\d_].{0,60}(?:[👍👎]|★{3,}))",
     r"(?:share (?:on|this|via)|print(?: this)?(?: page)?$|edit (?:this|on)|view (?:page )?source|back to top|copied!?$|copy (?:link|to clipboard|code)|report (?:an? )?(?:issue|bug|problem)|download (?:as )?pdf|open in|improve this page|suggest (?:an )?edit)",
-    r"(?:seite (?:bearbeiten|drucken|teilen)|drucken$|teilen$|nach oben|zum seitenanfang|link kopieren|kopiert!?$|quelltext|problem melden|auf sozialen)",
+    r"(?:zurück (?:nach oben|zum anfang)|seite (?:bearbeiten|drucken|teilen)|drucken$|teilen$|nach oben|zum seitenanfang|link kopieren|kopiert!?$|quelltext|problem melden|auf sozialen)",
     r"(?:imprimer|modifier cette|partager|haut de (?:la )?page|retour en haut|copier le|copié|voir la source|signaler)",
     r"(?:imprimir|editar esta|compartir|volver arriba|copiar (?:el )?enlace|copiado|ver (?:el )?(?:código|fuente)|informar)",
     r"\d+\s*(?:min(?:ute[sn]?|utos)?\.?)\s*(?:read|lesezeit|de lecture|de lectura)|(?:reading time|lesezeit|temps de lecture|tiempo de lectura)",
