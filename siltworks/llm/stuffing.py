@@ -61,7 +61,7 @@ _MORE = (
     " je tu nous vous ils elles me te lui leur leurs mon ton notre votre mes tes nos vos aucun aucune tout toute tous toutes autre autres même mêmes très déjà toujours jamais ici là alors ainsi donc bien être été avait avoir fait faire doit peuvent sera serait rien plusieurs encore vers chez depuis pendant lors"
     " yo tú él ella nosotros ellos ellas me te nos le les mi tu nuestro este esta esto estos estas ese esa eso aquel otro otra otros otras todo toda todos todas mismo misma muy ya siempre nunca aquí allí entonces así bien ser sido era fue haber hace debe pueden será sería nada varios aún hacia desde hasta sobre ambos sigue"
 ).split()
-_FUNCTION_WORDS = {_bare(w) for w in [*_WORD_LANGS, *_MORE]} - {"near", "like", "past", "need", "last"}
+_FUNCTION_WORDS = {_bare(w) for w in [*_WORD_LANGS, *_MORE]} - {"near", "like", "past", "need", "last", "me"}
 
 
 #: Function words of one language only, to its number.
@@ -255,7 +255,7 @@ class ClassModel:
 
 def is_prose(ids: list[int]) -> bool:
     """Whether a sentence may teach the model: enough function words, not mostly words repeated."""
-    return len(ids) > 7 and sum(i < _FUNCTION for i in ids) >= 0.18 * len(ids) and ids.count(_ID["again"]) <= 0.25 * len(ids)
+    return len(ids) > 7 and sum(i < _FUNCTION for i in ids) >= 0.18 * len(ids) and ids.count(_ID["again"]) <= 0.15 * len(ids)
 
 
 _CLASSED = "doc_id long, structure int, ids binary, lens array<int>, chars array<float>, langs array<int>"
