@@ -75,33 +75,31 @@ def dataset_report(records: DataFrame, seq: str = "record_seq", scored: DataFram
 
 def report_text(r: dict) -> str:
     """A dataset report for the console."""
-    lines = [f"Total canonical pairs: {r['total']}"]
-    if r["pages"]:
-        lines.append(f"Pages with pairs: {r['pages']}  pairs/page min={r['least']} max={r['most']} mean={r['mean']:.1f}")
-    lines += ["", f"Exact-duplicate questions (normalized text): {r['exact_duplicate_questions']}"]
-    lines += [f"Near-duplicate questions (ratio>={QUESTION_THRESHOLD}, same page): {r['near_duplicate_questions']}", f"Near-duplicate answers (ratio>={ANSWER_THRESHOLD}, same page): {r['near_duplicate_answers']}", ""]
-    lines += ["Redundancy by cause (near-duplicate-answer pairs, classified):", *(f"  {c}: {n}" for c, n in r["causes"].items()), ""]
-    if r.get("scores"):
-        lines += ["Relevance scores vs. what was extracted (score, status, pairs, url):", *(f"  {s['relevance_score']:.4f}  [{s['status']}]  pairs={s['pairs']}  {s['url']}" for s in r["scores"])]
-    return "\n".join(lines)
+    pages = f"{r['pages']} pages, {r['least']} to {r['most']} records each, {r['mean']:.1f} on average" if r["pages"] else "no pages"
+    causes = ", ".join(f"{c} {n}" for c, n in r["causes"].items())
+    lines = [
+        f"records: {r['total']} on {pages}",
+        f"questions asked before, word for word: {r['exact_duplicate_questions']}",
+        f"near duplicates on one page: {r['near_duplicate_questions']} question pairs from {QUESTION_THRESHOLD}, {r['near_duplicate_answers']} answer pairs from {ANSWER_THRESHOLD}",
+        f"answer pairs by cause: {causes}",
+    ]
+    return "\n".join([*lines, *(f"{s['relevance_score']:.4f} {s['status']:<16} {s['pairs']:>6} {s['url']}" for s in r.get("scores") or [])])
 
 
 def score_report_text(scored: DataFrame) -> str:
     """Scores, their statistics and the threshold sweep for the console."""
     s = score_stats(scored).first()
     if not s["n"]:
-        return "No scored pages found -- nothing to report."
-    lines = [f"Scored pages: {s['n']}", f"min={s['lo']:.4f}  max={s['hi']:.4f}  mean={s['mean']:.4f}  median={s['median']:.4f}  stdev={s['stdev']:.4f}", "", "Per-page scores (highest first):"]
-    top = scored.where("relevance_score is not null").orderBy(F.desc("relevance_score"), "url")
-    lines += [f"  {r['relevance_score']:.4f}  [{r['status']}]  {r['url']}" for r in top.select("relevance_score", "status", "url").toLocalIterator()]
-    lines += ["", "Pages that each candidate threshold would skip:"]
-    lines += [f"  threshold={r['threshold']:.1f}:  {r['skipped']}/{r['total']} pages would be skipped ({100 * r['skipped'] / r['total']:.0f}%)" for r in threshold_sweep(scored).orderBy("threshold").collect()]
+        return "no page has a score"
+    top = scored.where("relevance_score is not null").orderBy(F.desc("relevance_score"), "url").select("relevance_score", "status", "url")
+    lines = [f"{s['n']} scored pages: {s['lo']:.4f} to {s['hi']:.4f}, mean {s['mean']:.4f}, median {s['median']:.4f}, deviation {s['stdev']:.4f}"]
+    lines += [f"{r['relevance_score']:.4f} {r['status']:<16} {r['url']}" for r in top.toLocalIterator()]
+    lines += [f"below {r['threshold']:.1f}: {r['skipped']} of {r['total']} ({100 * r['skipped'] / r['total']:.0f}%)" for r in threshold_sweep(scored).orderBy("threshold").collect()]
     return "\n".join(lines)
 
 
 def results_text(rows: list) -> str:
     """Nearest-neighbour results for the console."""
-    out = []
-    for k, r in enumerate(rows, 1):
-        out += [f"--- Result {k}  (distance={r['distance']:.4f}) ---", f"Sources: {', '.join(r['sources'])}", f"Matched chunk: {r['text']}", f"Parent text: {r['parent_text']}", ""]
-    return "\n".join(out) if out else "No results."
+    if not rows:
+        return "nothing found"
+    return "\n\n".join(f"{k}. distance {r['distance']:.4f}, from {', '.join(r['sources'])}\n{r['text']}\nin: {r['parent_text']}" for k, r in enumerate(rows, 1))
