@@ -345,10 +345,10 @@ def page_furniture(df: DataFrame, record_id: str = "record_id", text: str = "sou
                     got = last[t] = furniture_lines(t)
                 ids += [i] * len(got)
                 nos += got
-            yield pd.DataFrame({"record_id": pd.Series(ids, dtype="int64"), "line_no": pd.Series(nos, dtype="int32")})
+            yield pd.DataFrame({"record_id": pd.Series(ids, dtype="int64"), "line_no": pd.Series(nos, dtype="int64")})
 
     rows = df.select(F.col(record_id).cast("long").alias("i"), F.col(text).alias("t")).where("t is not null and t <> ''")
-    return rows.mapInPandas(run, "record_id long, line_no int").distinct()
+    return rows.mapInPandas(run, "record_id long, line_no long").distinct()
 
 
 def main_body(df: DataFrame, record_id: str = "record_id", text: str = "source_chunk") -> DataFrame:
