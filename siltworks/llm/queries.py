@@ -149,6 +149,6 @@ def p4_found(spark, d):
 
 @query
 def p4_consistent(spark, d):
-    bundles = {"answer": (["answer", "source_chunk", "generation_model"], [F.col("chars"), F.col("instant")]), "question": (["question", "generation_model"], [F.col("instant")])}
+    bundles = {"answer": (["answer", "source_chunk", "generation_model"], [F.col("chars"), F.col("instant")]), "question": (["question", "source_chunk", "generation_model"], [F.col("instant")])}
     out = survivors(_page_groups(spark, d), "group", "record_id", bundles, dependencies=[("generation_model", "source_chunk")])
     return out.select(F.col("record_first").alias("group_first"), "answer_from", "question_from")
