@@ -3,7 +3,8 @@
 Method: layout-aware rendering. A tree builder reads HTML with implied end
 tags; visibility rules drop what a page does not show; the renderer emits all
 visible text and keeps block spacing, lists and aligned table cells. Extracted
-text (lines of Markdown) enters the same block tree by its own marks. Blocks of
+text (lines of Markdown) enters a block tree of elements, blocks and lines by its
+own marks, and lines of HTML by their elements (:func:`page_tree`). Blocks of
 the tree are then main content or furniture: menus, breadcrumbs, search and
 log-in lines, notices, tables of contents and other side boxes, tag lines,
 feedback and sharing lines, footers.
@@ -220,82 +221,190 @@ _config = re.compile(r"^\s*[\w.-]+\s*[=:]\s*\S|^\s*[{}\[\]],?\s*$|^\s*\"[^\"]+\"
 _label = re.compile(r"^\s*[^\W\d_][\w’'-]*(?:[ -][^\W_][\w’'-]*){0,2}\s*$")
 
 
-def furniture_lines(text: str) -> list[int]:
-    """Numbers, from 1, of the lines that are page furniture and not main content; blank lines never are."""
-    lines = text.split("\n")
-    n = len(lines)
-    kind = [""] * n  # furniture: F, content: C, open: ?
-    fence = None
-    blocks: list[list[int]] = []
+class PageBuilder(TreeBuilder):
+    """The block tree of lines of Markdown and HTML: elements hold blocks, blocks hold lines with their numbers."""
+
+    def __init__(self):
+        super().__init__()
+        self.seen: list[tuple[str, bool, bool]] = []  # (text, is a mark, is out of sight) of the line being read
+
+    def out_of_sight(self, node: Node | None = None) -> bool:
+        return not all(shown(x, True) for x in [*self.open[1:], *([node] if node else [])])
+
+    def handle_starttag(self, tag, attrs):
+        super().handle_starttag(tag, attrs)
+        mark = "[" if tag == "a" else "* " if tag == "li" else "#" * int(tag[1]) + " " if re.fullmatch(r"h[1-6]", tag) else "| " if tag in ("td", "th") else ""
+        self.seen.append((mark, True, self.out_of_sight(Node(tag, {k: v or "" for k, v in attrs}))))
+
+    def handle_startendtag(self, tag, attrs):
+        super().handle_startendtag(tag, attrs)
+        self.seen.append(("", True, self.out_of_sight(self.open[-1].children[-1])))
+
+    def handle_endtag(self, tag):
+        away = self.out_of_sight()
+        super().handle_endtag(tag)
+        self.seen.append(("](#)" if tag == "a" else "", True, away))
+
+    def handle_data(self, data):
+        self.seen.append((data, False, self.out_of_sight()))
+
+    def handle_comment(self, data):
+        self.seen.append(("", True, True))
+
+    def waits(self) -> bool:
+        """Whether a tag, a comment, a script or a style goes on."""
+        return bool(self.rawdata) or self.cdata_elem is not None
+
+    def read(self, line: str) -> tuple[str, bool]:
+        """(text in sight, whether the line is out of sight) of a line of HTML."""
+        self.seen = []
+        self.feed(line + "\n")
+        text = [away for x, mark, away in self.seen if not mark and x.strip()]
+        away = all(text) if text else any(away for *_, away in self.seen) or self.rawdata.startswith("<!--")
+        return re.sub(r"\s+", " ", "".join(x for x, _, gone in self.seen if not gone)).strip() if text else "", away
+
+
+# HTML begins at a line that begins with a tag; one amid a sentence or code is text
+_markup = re.compile(r"^\s*(?:<!--|<!doctype\b|</?(?:" + "|".join(sorted(BLOCKS | HIDDEN | VOID | {"a", "body", "span", "td", "th"})) + r")(?=[\s>/]|$))", re.I)
+_any_tag = re.compile(r"</?[a-z]", re.I)
+_span = re.compile(r"`[^`]*`")
+
+
+def page_tree(text: str) -> Node:
+    """The block tree of a text, Markdown and HTML alike: html > elements > block or pre > a node of each line.
+
+    A line's node has its number, its text without tags, and as tag its place: ``h``, ``li``,
+    ``hr``, ``blockquote``, ``tr``, ``pre``, ``tag`` (HTML without text) or ``p``. Blank lines part blocks
+    and have no node. A block out of sight by its line alone is ``hidden``.
+    """
+    builder, lines = PageBuilder(), text.split("\n")
+    fence = block = last = None
     for i, line in enumerate(lines):
         s = line.strip()
-        m = _fence.match(line)
-        if m and (fence is None or fence == m.group(1)):
-            fence = None if fence else m.group(1)
-            kind[i] = "C"
-        elif fence:
-            kind[i] = "C"
-        elif not s:
-            kind[i] = " "
-        if kind[i] in (" ", "C"):
-            blocks.append([])
-        elif blocks:
-            blocks[-1].append(i)
+        waits = builder.waits()
+        m = None if waits else _fence.match(line)
+        if m and (fence is None or fence == m.group(1)) or fence and not waits:
+            if m and (fence is None or fence == m.group(1)):
+                fence = None if fence else m.group(1)
+            pre = Node("pre")
+            pre.children.append(Node("pre", {"line": i, "text": s}))
+            builder.open[-1].children.append(pre)
+            block = None
+            continue
+        if not s:
+            block = None
+            continue
+        where = builder.open[-1]
+        away, is_html = False, waits
+        if not waits and "<" in line:
+            line = _span.sub(lambda x: x[0].replace("<", "&lt;"), line)
+            is_html = _markup.match(line) is not None or len(builder.open) > 1 and _any_tag.search(line) is not None
+        if is_html:
+            s, away = builder.read(line)
+        code = len(builder.open) > 1 and any(x.tag == "pre" for x in builder.open)
+        place = (builder.out_of_sight() if len(builder.open) > 1 else False, away, code)
+        if block is None or place != last:
+            block = Node("pre" if code else "block", {"hidden": ""} if away else {})
+            where.children.append(block)
+        last = place
+        under = i + 1 < len(lines) and _setext.match(lines[i + 1]) is not None
+        if is_html and not s or code:
+            tag = "tag"
+        elif _heading.match(s) or under or _setext.match(s) and block.children:
+            tag = "h"
+        elif _item.match(s):
+            tag = "li"
+        elif s.startswith((">", "|")):
+            tag = "blockquote" if s[0] == ">" else "tr"
         else:
-            blocks.append([i])
-    headings = {re.sub(r"^\s*#{1,6}\s+|\s*#*\s*$", "", x).strip().lower() for x in lines if _heading.match(x)} | {lines[i - 1].strip().lower() for i in range(1, n) if _setext.match(lines[i])}
+            tag = "hr" if _rule_line.match(s) else "p"
+        block.children.append(Node(tag, {"line": i, "text": s, "under": under}))
+    return builder.root
+
+
+def furniture_lines(text: str) -> list[int]:
+    """Numbers, from 1, of the lines that are page furniture and not main content; blank lines never are.
+
+    Decided on the block tree: what a page does not show and its landmarks of
+    furniture (nav, aside, footer, their roles) are furniture with all their lines,
+    code is content, and the lines of other blocks are told by their block.
+    """
+    blocks: list[list[Node]] = []
+    found: list[int] = []
+    titles: set[str] = set()
+
+    def walk(node: Node, visible: bool) -> None:
+        for c in node.children:
+            if "line" in c.attrs:
+                if not visible:
+                    found.append(c.attrs["line"] + 1)
+                continue
+            seen = visible and shown(c, True)
+            if c.tag in ("block", "pre") and seen:
+                s = [x.attrs["text"] for x in c.children if "line" in x.attrs]
+                titles.update(re.sub(r"^\s*#{1,6}\s+|\s*#*\s*$", "", x).strip().lower() for x in s if _heading.match(x))
+                titles.update(x.attrs["text"].lower() for x in c.children if x.attrs.get("under"))
+            if c.tag == "block" and seen:
+                blocks.append(c.children)
+            else:
+                walk(c, seen)
+
+    walk(page_tree(text), True)
     for block in blocks:
-        lead = False  # a plain list under a lead-in line is content
-        box = False
-        for at, i in enumerate(block):
-            s = lines[i].strip()
-            nxt = lines[i + 1] if i + 1 < n else ""
-            if box:
-                # a side box holds links, labels and headings of the page
-                if _link_only.match(s) or s.lower() in headings or (len(s.split()) <= 6 and not _ends.search(s) and not _heading.match(s)):
-                    kind[i] = "F"
-                    continue
-                box = False
-            if _box.match(s) and not _setext.match(nxt) and (not _heading.match(s) or _box_follows(lines, block, at)):
-                kind[i] = "F"
-                box = True
-            elif _heading.match(s) or _setext.match(nxt) and s or _setext.match(s) and at:
-                kind[i] = "C"
-            elif _phrase.match(s) and not (lead and _item.match(s)) and len(s) < 260 and not _is_prose(s):
+        found += [block[k].attrs["line"] + 1 for k in _furniture_of(block, titles)]
+    return sorted(found)
+
+
+def _furniture_of(block: list[Node], headings: set[str]) -> list[int]:
+    """Places in a block of lines that are furniture."""
+    lines = [x.attrs["text"] for x in block]
+    kind = [""] * len(block)  # furniture: F, content: C, open: ?
+    lead = False  # a plain list under a lead-in line is content
+    box = False
+    for i, node in enumerate(block):
+        s, tag, under = lines[i], node.tag, node.attrs["under"]
+        if tag == "tag":
+            kind[i] = "C"
+            continue
+        if box:
+            # a side box holds links, labels and headings of the page
+            if _link_only.match(s) or s.lower() in headings or (len(s.split()) <= 6 and not _ends.search(s) and not _heading.match(s)):
                 kind[i] = "F"
-            elif _link_only.match(s) or _bracket.match(s):
-                kind[i] = "C" if lead and _item.match(s) else "F"
-            elif _item.match(s):
-                kind[i] = "C"
-            elif s.startswith((">", "|")) or _rule_line.match(s):
-                kind[i] = "C"
-            elif _ends.search(s):
-                kind[i] = "C"
-            elif (_trail.match(s) or _gaps.match(s)) and not _config.search(s) and _is_labels(s):
+                continue
+            box = False
+        if _box.match(s) and not under and (not _heading.match(s) or _box_follows(lines, i)):
+            kind[i] = "F"
+            box = True
+        elif tag == "h":
+            kind[i] = "C"
+        elif _phrase.match(s) and not (lead and tag == "li") and len(s) < 260 and not _is_prose(s):
+            kind[i] = "F"
+        elif _link_only.match(s) or _bracket.match(s):
+            kind[i] = "C" if lead and tag == "li" else "F"
+        elif tag in ("li", "blockquote", "tr", "hr"):
+            kind[i] = "C"
+        elif _ends.search(s):
+            kind[i] = "C"
+        elif (_trail.match(s) or _gaps.match(s)) and not _config.search(s) and _is_labels(s):
+            kind[i] = "F"
+        else:
+            kind[i] = "?"
+        lead = (s.endswith(":") and kind[i] == "C") or (lead and _item.match(s) is not None)
+    # labels without a sentence beside them: menus, one entry to a line
+    for i, s in enumerate(lines):
+        if kind[i] == "?":
+            labelled = _label.match(s) is not None
+            run = 1
+            for step in (-1, 1):
+                j = i + step
+                while 0 <= j < len(block) and kind[j] in "?F" and _label.match(lines[j]):
+                    run += 1
+                    j += step
+            if labelled and (run >= 2 or i + 1 < len(block) and kind[i + 1] == "F" or i and kind[i - 1] == "F" or s.lower() in MENU_WORDS):
                 kind[i] = "F"
             else:
-                kind[i] = "?"
-            lead = (s.endswith(":") and kind[i] == "C") or (lead and _item.match(s) is not None)
-    # labels without a sentence beside them: menus, one entry to a line
-    out = []
-    for block in blocks:
-        for at, i in enumerate(block):
-            if kind[i] == "?":
-                s = lines[i].strip()
-                labelled = _label.match(s) is not None
-                run = 1
-                for step in (-1, 1):
-                    j = at + step
-                    while 0 <= j < len(block) and (kind[block[j]] in "?F") and _label.match(lines[block[j]].strip()):
-                        run += 1
-                        j += step
-                if labelled and (run >= 2 or at + 1 < len(block) and kind[block[at + 1]] == "F" or at and kind[block[at - 1]] == "F" or s.lower() in MENU_WORDS):
-                    kind[i] = "F"
-                else:
-                    kind[i] = "C"
-            if kind[i] == "F":
-                out.append(i + 1)
-    return out
+                kind[i] = "C"
+    return [i for i, k in enumerate(kind) if k == "F"]
 
 
 # Entries of menus that stand alone.
@@ -307,9 +416,9 @@ MENU_WORDS = frozenset(
 )
 
 
-def _box_follows(lines: list[str], block: list[int], at: int) -> bool:
+def _box_follows(lines: list[str], at: int) -> bool:
     """Whether links or labels follow a title that is written as a heading."""
-    rest = [lines[i].strip() for i in block[at + 1 : at + 3]]
+    rest = lines[at + 1 : at + 3]
     return bool(rest) and all(_link_only.match(x) for x in rest)
 
 

@@ -63,3 +63,48 @@ def test_operator(spark):
     body = {r["record_id"]: r["body"] for r in main_body(df).collect()}
     assert body[2] is None and body[3] == "" and body[4] == "Only text here." and body[1].startswith("# Title")
     assert page_furniture(df.limit(0)).count() == 0
+
+
+def test_html_lines_by_their_elements():
+    html = """<!doctype html>
+<body>
+<nav class="top">
+<a href="/a">First words of some kind.</a>
+
+A sentence in Markdown inside the menu.
+</nav>
+<!-- a note
+of the authors -->
+<article>
+<h1>Title of the page</h1>
+The `<nav>` element holds menus.
+<p>A sentence with <b>bold</b> words.
+<ul>
+<li><a href="/x">Some link</a>
+<li>An item of the article.
+</ul>
+<p style="display: none">Not shown at all.</p>
+<div role="search">
+Anything here.
+</div>
+<pre>
+menu | home | about
+</pre>
+</article>
+<script>
+if (a < b) { go(); }
+</script>
+<footer>The end of it all.</footer>
+</body>
+
+The `<nav>` element holds menus, and <aside> others.
+```html
+<nav>
+```
+A last sentence."""
+    bad = [html.split("\n")[n - 1] for n in furniture_lines(html)]
+    assert bad == [
+        '<nav class="top">', '<a href="/a">First words of some kind.</a>', "A sentence in Markdown inside the menu.", "</nav>", "<!-- a note", "of the authors -->",
+        '<li><a href="/x">Some link</a>', '<p style="display: none">Not shown at all.</p>', '<div role="search">', "Anything here.", "</div>",
+        "<script>", "if (a < b) { go(); }", "</script>", "<footer>The end of it all.</footer>",
+    ]
