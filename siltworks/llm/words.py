@@ -31,21 +31,6 @@ def setting(c: Column) -> Column:
     return F.nullif(F.regexp_extract(F.lower(c), SETTING, 0), F.lit(""))
 
 
-def anchors(question: Column, set_: Column) -> Column:
-    """What a question names beside its setting, as letter sets, so that swapped or doubled letters do not matter.
-
-    The capitalised words inside a question of mixed case, or, in one of a
-    single case, all its longer words. At least one, the empty set if need be.
-    """
-    text = F.regexp_replace(question, r"\S*_\S*", " ")
-    mixed = text.rlike(r"\p{Ll}") & text.rlike(r"\S\s+\p{Lu}\p{Ll}{2,}")
-    named = F.regexp_extract_all(text, F.lit(r"(?:^\s*\S+|\G|[^\s.])\s+[^\p{L}\s]*(\p{Lu}\p{Ll}{3,})"), F.lit(1))
-    any_ = F.regexp_extract_all(text, F.lit(r"(\p{L}{4,})"), F.lit(1))
-    letters = lambda w: F.array_join(F.array_sort(F.array_distinct(F.split(F.lower(w), ""))), "")
-    found = F.array_distinct(F.transform(F.when(mixed & (F.size(named) > 0), named).otherwise(any_), letters))
-    return F.when(F.size(found) == 0, F.array(F.lit(""))).otherwise(found)
-
-
 def words(text: str | None) -> list[str]:
     """The Python form of :func:`word_array`."""
     if not text:
