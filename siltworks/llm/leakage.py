@@ -3,7 +3,7 @@
 Method: the n-grams of the normalised evaluation items form a hash set that is
 broadcast behind a check of its size; training documents are scanned window by
 window; hits are verified word by word. A document can be reported with the
-items it holds, cleaned of the spans, or dropped.
+items it holds, or dropped; no spans are removed from texts.
 """
 
 from __future__ import annotations
