@@ -5,9 +5,10 @@ tags; visibility rules drop what a page does not show; the renderer emits all
 visible text and keeps block spacing, lists and aligned table cells. Extracted
 text (lines of Markdown) enters a block tree of elements, blocks and lines by its
 own marks, and lines of HTML by their elements (:func:`page_tree`). Blocks of
-the tree are then main content or furniture: menus, breadcrumbs, search and
-log-in lines, notices, tables of contents and other side boxes, tag lines,
-feedback and sharing lines, footers.
+the tree are then main content or furniture: by visibility, by what their lines
+are (links, labels, trails, customary words of the web), and by repetition: a line
+all of whose parts stand on many pages, and seldom beside prose, belongs to
+the site and not to the article (:class:`Repeats`, counted over all texts).
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from zlib import crc32
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +35,8 @@ ROLES = frozenset("navigation banner contentinfo complementary search menu menub
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}} | {t: {"p"} for t in BLOCKS - {"li", "dt", "dd", "tr", "tbody", "tfoot", "thead", "html", "body"}}
 #: What a search for an open element does not leave.
 SCOPES = frozenset("table ul ol dl html body div section article main aside nav".split())
+#: Elements nested deeper are laid side by side, which changes no text and no order.
+DEEPEST = 400
 
 
 class Node:
@@ -48,6 +53,7 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html")
         self.open = [self.root]
+        self.flat: list[str] = []  # open elements too deep to nest, laid into the deepest one
 
     def handle_starttag(self, tag, attrs):
         ends = IMPLIED.get(tag, ())
@@ -60,13 +66,22 @@ class TreeBuilder(HTMLParser):
                 break
         node = Node(tag, {k: v or "" for k, v in attrs})
         self.open[-1].children.append(node)
-        if tag not in VOID and len(self.open) < 400:
+        if tag in VOID:
+            return
+        # one that hides its children is nested at any depth, since below it nothing matters
+        if len(self.open) < DEEPEST or (not shown(node, True) and all(shown(x, True) for x in self.open[DEEPEST:])):
             self.open.append(node)
+        else:
+            self.flat.append(tag)
 
     def handle_startendtag(self, tag, attrs):
         self.open[-1].children.append(Node(tag, {k: v or "" for k, v in attrs}))
 
     def handle_endtag(self, tag):
+        for k in range(len(self.flat) - 1, -1, -1):
+            if self.flat[k] == tag:
+                del self.flat[k:]
+                return
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k].tag == tag:
                 del self.open[k:]
@@ -179,10 +194,10 @@ def render(node: Node, main_only: bool = True) -> str:
 
 # Titles of side boxes.
 BOX_TITLES = (
-    r"related (?:articles|pages|topics|links|posts)|readers also (?:liked|read)|popular (?:pages|articles|posts)|more in this section|on this page|(?:table of )?contents|in this (?:article|section|page)|see also|recommended(?: for you)?|what to read next|you may also like|most (?:read|viewed)|recent posts|further reading"
+    r"related (?:articles|pages|topics|links|posts)|popular (?:pages|articles|posts)|more in this section|on this page|(?:table of )?contents|in this (?:article|section|page)|see also|recommended(?: for you)?|what to read next|you may also like|most (?:read|viewed)|recent posts|further reading"
     r"|auf dieser seite|inhalt(?:sverzeichnis)?|in diesem (?:artikel|abschnitt)|verwandte (?:artikel|seiten|themen)|siehe auch|beliebte (?:seiten|artikel)|ähnliche (?:artikel|seiten)|mehr in diesem (?:abschnitt|bereich)|weitere (?:artikel|seiten)|das könnte (?:sie|dich) auch interessieren"
     r"|sur cette page|sommaire|table des matières|dans cet(?:te)? (?:article|section|page)|articles (?:liés|connexes|similaires)|pages (?:liées|populaires|connexes)|voir aussi|à lire aussi|dans la même (?:section|rubrique)|contenu"
-    r"|en esta página|en este artículo|en esta sección|contenido|índice|artículos relacionados|páginas (?:relacionadas|populares)|temas relacionados|ver también|véase también|más en esta sección|otros lectores"
+    r"|en esta página|en este artículo|en esta sección|contenido|índice|artículos relacionados|páginas (?:relacionadas|populares)|temas relacionados|ver también|véase también|más en esta sección"
 )
 # Beginnings of lines that belong to the page, not to its text.
 PHRASES = (
@@ -191,13 +206,12 @@ PHRASES = (
     r"search\b.{0,60}(?:docs|manual|⌘k|ctrl|…|\.\.\.)|\[search|suche in|durchsuchen|rechercher|buscar en",
     r"(?:log|sign) (?:in|out|up)\b|login\b|anmelden|abmelden|registrieren|se connecter|connexion|s'inscrire|iniciar sesión|acceder|registrarse",
     r"you are here|sie sind hier|vous êtes ici|usted está aquí|estás aquí|startseite\s*[>»/]",
-    r".{0,200}\bcookies?\b.{0,160}(?:accept all\b.*|accept / decline|agree and continue|change settings at any time|close this banner|got it|alle akzeptieren\b.*|alle ablehnen\b.*|tout accepter\b.*|tout refuser\b.*|aceptar todo\b.*|rechazar todo\b.*)\W*$|(?:your privacy|we value your privacy|small files are kept|by browsing on|our partners set|this site (?:stores|uses)|we use cookies|wir verwenden cookies|diese seite (?:speichert|verwendet)|ce site (?:dépose|utilise)|nous utilisons des cookies|usamos cookies|este sitio (?:guarda|usa|utiliza))",
-    r"(?:©|\(c\)\s*\d|copyright\b)|\d{4}\s*[·•|-].{0,60}(?:built|made|erstellt|gebaut|generated|creado|réalisé|powered)|.{0,80}(?:all rights reserved|alle rechte vorbehalten|tous droits réservés|todos los derechos reservados)",
-    r"(?:last (?:updated|modified|edited|changed|reviewed)|page (?:revision|version|last)|updated on|zuletzt (?:geändert|aktualisiert)|stand:|dernière (?:mise|modification)|mis à jour|última (?:actualización|modificación)|actualizado)\b",
-    r"(?:subscribe|sign up|join .{1,60}(?:meetup|newsletter|community|webinar)|follow .{1,60}(?:news|us|release|updates|twitter|mastodon|x\b)|try .{1,60}(?:free|cloud)|start your free|get started for free|abonnieren|newsletter|folgen sie|testen sie|jetzt .{1,40}(?:testen|anmelden)|abonnez|suivez|essayez|suscríb|síguenos|siga a|pruebe|prueba)\b",
+    r"(?:©|\(c\)\s*\d|copyright\b)|.{0,80}(?:all rights reserved|alle rechte vorbehalten|tous droits réservés|todos los derechos reservados)",
+    r"(?:last (?:updated|modified|edited|changed|reviewed)|updated on|zuletzt (?:geändert|aktualisiert)|stand:|dernière (?:mise|modification)|mis à jour|última (?:actualización|modificación)|actualizado)\b",
+    r"(?:subscribe|sign up|newsletter|abonnieren|abonnez-vous|suscríbase)\b",
     r"(?:rate this|was this (?:page|article)|did this (?:answer|help)|is this page helpful|how helpful|war diese seite|hat (?:ihnen |das )?.{0,30}geholfen|cette page vous|.{0,12}ayudó esta|¿?(?:le|te) (?:ayudó|resultó)|fue útil|diese seite bewerten|bewerten|noter cette|valore esta|[^\W\d_].{0,60}(?:[👍👎]|★{3,}))",
     r"(?:share (?:on|this|via)|print(?: this)?(?: page)?$|edit (?:this|on)|view (?:page )?source|back to top|copied!?$|copy (?:link|to clipboard|code)|report (?:an? )?(?:issue|bug|problem)|download (?:as )?pdf|open in|improve this page|suggest (?:an )?edit)",
-    r"(?:zurück (?:nach oben|zum anfang)|seite (?:bearbeiten|drucken|teilen)|drucken$|teilen$|nach oben|zum seitenanfang|link kopieren|kopiert!?$|quelltext|problem melden|auf sozialen)",
+    r"(?:zurück (?:nach oben|zum anfang)|seite (?:bearbeiten|drucken|teilen)|drucken$|teilen$|nach oben|zum seitenanfang|link kopieren|kopiert!?$|quelltext|problem melden)",
     r"(?:imprimer|modifier cette|partager|haut de (?:la )?page|retour en haut|copier le|copié|voir la source|signaler)",
     r"(?:imprimir|editar esta|compartir|volver arriba|copiar (?:el )?enlace|copiado|ver (?:el )?(?:código|fuente)|informar)",
     r"\d+\s*(?:min(?:ute[sn]?|utos)?\.?)\s*(?:read|lesezeit|de lecture|de lectura)|(?:reading time|lesezeit|temps de lecture|tiempo de lectura)",
@@ -210,6 +224,8 @@ _phrase = re.compile("^(?:[-*•>]\\s+)?\\W{0,3}?(?:" + "|".join(f"(?:{p})" for
 _fence = re.compile(r"^\s*(```|~~~)")
 _item = re.compile(r"^\s*(?:[-*+•]|\d+[.)])\s+")
 _link_only = re.compile(r"^\s*(?:(?:[-*+•|·/>]|\d+[.)])?\s*!?\[[^\]\[]*\]\([^()\s]*(?:\s+\"[^\"]*\")?\)\s*[|·•/,>-]?\s*)+$")
+# a sentence with its buttons: a label in brackets or labels between bars
+_buttons = re.compile(r"[.!?]\s+(?:\[[^\]\[]{1,40}\]|[^\s|.!?][^|.!?]{0,30}(?:\s\|\s[^|.!?]{1,30})+)$")
 _bracket = re.compile(r"^\s*\[[^\]\[]{1,60}\]\s*$")
 _heading = re.compile(r"^\s*#{1,6}\s")
 _setext = re.compile(r"^\s*(?:={3,}|-{3,})\s*$")
@@ -220,6 +236,103 @@ _ends = re.compile(r"[.!?:;…]['\"”’»)\]*_`]*$")
 _config = re.compile(r"^\s*[\w.-]+\s*[=:]\s*\S|^\s*[{}\[\]],?\s*$|^\s*\"[^\"]+\"\s*:|^\s*[\w.-]+:\s*$|--\w|\w\(.*\)|^\s*[$>#]\s")
 _label = re.compile(r"^\s*[^\W\d_][\w’'-]*(?:[ -][^\W_][\w’'-]*){0,2}\s*$")
 
+BUCKETS = 1 << 20
+"""Rows of the table of repeated parts."""
+_part = re.compile(r"(?<=[.!?…])\s+|\s+(?=\[)")
+_link_target = re.compile(r"\]\([^()\s]*(?:\s+\"[^\"]*\")?\)")
+_address = re.compile(r"(?:https?://|www\.)\S+")
+_number = re.compile(r"\d+")
+_name = re.compile(r"(?<=\S )[^\W\d_a-zß-öø-ÿ][\w’'-]*")
+_letters = re.compile(r"[^\W\d_]")
+_own_word = re.compile(r"[^\W\d_]{2}")
+
+
+def parts_of(line: str) -> list[str]:
+    """The sentences and bracketed labels of a line, the short ones without what differs from page to page: numbers, names, addresses."""
+    out = []
+    for x in _part.split(line.strip()):
+        if x and not _is_sentence(x):
+            x = _number.sub("0", _address.sub("u", _link_target.sub("]", x)))
+            named = re.sub(r"(?:A )+A\b", "A", _name.sub("A", x))
+            x = named if _own_word.search(named) else x
+        if x:
+            out.append(x.lower())
+    return out
+
+
+def _rows_of(part: str) -> tuple[int, int]:
+    return crc32(part.encode()) % BUCKETS, crc32(part[::-1].encode()) % BUCKETS
+
+
+class Repeats:
+    """On how many pages the parts of lines stand, and on how many of these beside prose.
+
+    A table of ``BUCKETS`` hashed rows whatever the corpus; a part has two rows,
+    of which the emptier counts. A line is repeated if each of its parts
+    stands on ``share`` of all pages, three at least, and beside prose on less
+    than ``beside`` of these. Lines mostly of signs are drawings.
+    """
+
+    def __init__(self, pages: np.ndarray, prose: np.ndarray, total: int, share: float = 1 / 5000, beside: float = 0.7):
+        self.pages, self.prose, self.least, self.beside = pages, prose, max(3.0, share * total), beside
+
+    def __contains__(self, line: str) -> bool:
+        if 2 * len(_letters.findall(line)) < len(line.replace(" ", "")):
+            return False
+        pages = prose = 0.0
+        for x in parts_of(line):
+            if not _own_word.search(x):
+                if _letters.search(x) or _number.search(x):
+                    return False
+                continue
+            k = min(_rows_of(x), key=lambda r: self.pages[r])
+            if self.pages[k] < self.least:
+                return False
+            pages += self.pages[k]
+            prose += self.prose[k]
+        return pages > 0 and prose < self.beside * pages
+
+
+def _is_sentence(s: str) -> bool:
+    return len(s.split()) >= 10 and _ends.search(s) is not None
+
+
+def repeats(df: DataFrame, text: str = "source_chunk") -> Repeats:
+    """The table counted over all different texts; it has a fixed size and so may go to the driver and be broadcast."""
+
+    def count(batches):
+        last: set[str] = set()
+        for b in batches:
+            rows, pages, besides = [], [], []
+            for t in b["t"]:
+                if t in last:
+                    continue
+                if len(last) >= 4096:
+                    last.clear()
+                last.add(t)
+                # of the text itself, so that copies elsewhere are one page too
+                page = crc32(t.encode()) << 32 | crc32(t[::-1].encode())
+                seen: dict[int, bool] = {}
+                for block, kinds in _kinds(t, None):
+                    for i, node in enumerate(block):
+                        if node.tag != "p" or kinds[i] == "F":
+                            continue
+                        beside = any(0 <= j < len(block) and kinds[j] == "C" and _is_sentence(block[j].attrs["text"]) for j in (i - 1, i + 1))
+                        for x in parts_of(node.attrs["text"]):
+                            for r in _rows_of(x):
+                                seen[r] = seen.get(r, False) or beside
+                rows += seen
+                besides += seen.values()
+                pages += [page - (1 << 63)] * len(seen)
+            yield pd.DataFrame({"row": pd.Series(rows, dtype="int32"), "page": pd.Series(pages, dtype="int64"), "beside": pd.Series(besides, dtype="bool")})
+
+    rows = df.select(F.col(text).alias("t")).where("t is not null and t <> ''").mapInPandas(count, "row int, page long, beside boolean").distinct()
+    got = rows.groupBy("row").agg(F.count("*").alias("n"), F.count_if("beside").alias("b")).where("n > 2").toPandas()
+    total = df.select(F.xxhash64(text).alias("x")).where(F.col(text).isNotNull()).agg(F.approx_count_distinct("x")).first()[0]
+    pages, prose = np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32)
+    pages[got["row"]], prose[got["row"]] = got["n"], got["b"]
+    return Repeats(pages, prose, total)
+
 
 class PageBuilder(TreeBuilder):
     """The block tree of lines of Markdown and HTML: elements hold blocks, blocks hold lines with their numbers."""
@@ -287,7 +400,7 @@ def page_tree(text: str) -> Node:
             if m and (fence is None or fence == m.group(1)):
                 fence = None if fence else m.group(1)
             pre = Node("pre")
-            pre.children.append(Node("pre", {"line": i, "text": s}))
+            pre.children.append(Node("pre", {"line": i, "text": s, "raw": line}))
             builder.open[-1].children.append(pre)
             block = None
             continue
@@ -318,45 +431,51 @@ def page_tree(text: str) -> Node:
             tag = "blockquote" if s[0] == ">" else "tr"
         else:
             tag = "hr" if _rule_line.match(s) else "p"
-        block.children.append(Node(tag, {"line": i, "text": s, "under": under}))
+        block.children.append(Node(tag, {"line": i, "text": s, "under": under} | ({} if is_html else {"raw": lines[i]})))
     return builder.root
 
 
-def furniture_lines(text: str) -> list[int]:
+def furniture_lines(text: str, seen: Repeats | None = None) -> list[int]:
     """Numbers, from 1, of the lines that are page furniture and not main content; blank lines never are.
 
     Decided on the block tree: what a page does not show and its landmarks of
     furniture (nav, aside, footer, their roles) are furniture with all their lines,
-    code is content, and the lines of other blocks are told by their block.
+    code is content, and the lines of other blocks are told by their block and,
+    where ``seen`` is given, by their repetition over the corpus.
     """
-    blocks: list[list[Node]] = []
     found: list[int] = []
+    for block, kinds in _kinds(text, seen, found):
+        found += [x.attrs["line"] + 1 for x, k in zip(block, kinds) if k == "F"]
+    return sorted(found)
+
+
+def _kinds(text: str, seen: Repeats | None, away: list[int] | None = None) -> Iterator[tuple[list[Node], list[str]]]:
+    """Blocks in sight with the kind of each line, F furniture or C content; numbers of lines out of sight go to ``away``."""
+    blocks: list[list[Node]] = []
     titles: set[str] = set()
 
     def walk(node: Node, visible: bool) -> None:
         for c in node.children:
             if "line" in c.attrs:
-                if not visible:
-                    found.append(c.attrs["line"] + 1)
+                if not visible and away is not None:
+                    away.append(c.attrs["line"] + 1)
                 continue
-            seen = visible and shown(c, True)
-            if c.tag in ("block", "pre") and seen:
+            inside = visible and shown(c, True)
+            if c.tag in ("block", "pre") and inside:
                 s = [x.attrs["text"] for x in c.children if "line" in x.attrs]
                 titles.update(re.sub(r"^\s*#{1,6}\s+|\s*#*\s*$", "", x).strip().lower() for x in s if _heading.match(x))
                 titles.update(x.attrs["text"].lower() for x in c.children if x.attrs.get("under"))
-            if c.tag == "block" and seen:
+            if c.tag == "block" and inside:
                 blocks.append(c.children)
             else:
-                walk(c, seen)
+                walk(c, inside)
 
     walk(page_tree(text), True)
     for block in blocks:
-        found += [block[k].attrs["line"] + 1 for k in _furniture_of(block, titles)]
-    return sorted(found)
+        yield block, _kinds_of(block, titles, seen)
 
 
-def _furniture_of(block: list[Node], headings: set[str]) -> list[int]:
-    """Places in a block of lines that are furniture."""
+def _kinds_of(block: list[Node], headings: set[str], seen: Repeats | None) -> list[str]:
     lines = [x.attrs["text"] for x in block]
     kind = [""] * len(block)  # furniture: F, content: C, open: ?
     lead = False  # a plain list under a lead-in line is content
@@ -372,12 +491,19 @@ def _furniture_of(block: list[Node], headings: set[str]) -> list[int]:
                 kind[i] = "F"
                 continue
             box = False
+        again = seen is not None and tag == "p" and not under and not s.endswith(":") and s in seen
         if _box.match(s) and not under and (not _heading.match(s) or _box_follows(lines, i)):
             kind[i] = "F"
             box = True
         elif tag == "h":
             kind[i] = "C"
-        elif _phrase.match(s) and not (lead and tag == "li") and len(s) < 260 and not _is_prose(s):
+        elif again:
+            # a repeated title of two words or more opens a box, a repeated label is a menu's
+            kind[i] = "F"
+            box = not _ends.search(s) and 2 <= len(s.split()) <= 5 and i + 1 < len(block) and _label.match(lines[i + 1]) is not None
+        elif _phrase.match(s) and not (lead and tag == "li") and not _is_prose(s):
+            kind[i] = "F"
+        elif tag == "p" and _buttons.search(s):
             kind[i] = "F"
         elif _link_only.match(s) or _bracket.match(s):
             kind[i] = "C" if lead and tag == "li" else "F"
@@ -400,20 +526,9 @@ def _furniture_of(block: list[Node], headings: set[str]) -> list[int]:
                 while 0 <= j < len(block) and kind[j] in "?F" and _label.match(lines[j]):
                     run += 1
                     j += step
-            if labelled and (run >= 2 or i + 1 < len(block) and kind[i + 1] == "F" or i and kind[i - 1] == "F" or s.lower() in MENU_WORDS):
-                kind[i] = "F"
-            else:
-                kind[i] = "C"
-    return [i for i, k in enumerate(kind) if k == "F"]
-
-
-# Entries of menus that stand alone.
-MENU_WORDS = frozenset(
-    "home about contact login search blog docs documentation products solutions pricing support community forum events careers partners status changelog showcase download press legal privacy terms imprint sitemap security licenses brand accessibility help news"
-    " startseite über kontakt anmelden suche produkte lösungen preise hilfe gemeinschaft veranstaltungen karriere partner neuigkeiten herunterladen presse impressum datenschutz nutzungsbedingungen barrierefreiheit dokumentation"
-    " accueil connexion rechercher recherche produits tarifs aide communauté nouveautés télécharger documentation emplois presse mentions confidentialité conditions accessibilité"
-    " inicio acceder buscar productos precios ayuda comunidad novedades descargar documentación contacto empleo prensa aviso privacidad condiciones accesibilidad".split()
-)
+            beside = i + 1 < len(block) and kind[i + 1] == "F" or i and kind[i - 1] == "F"
+            kind[i] = "F" if labelled and (run >= 2 or beside) else "C"
+    return kind
 
 
 def _box_follows(lines: list[str], at: int) -> bool:
@@ -433,17 +548,21 @@ def _is_prose(s: str) -> bool:
     return s.count("`") >= 2 or (len(s.split()) > 24 and s.endswith("."))
 
 
-def page_furniture(df: DataFrame, record_id: str = "record_id", text: str = "source_chunk", keep: int = 4096) -> DataFrame:
+def page_furniture(df: DataFrame, record_id: str = "record_id", text: str = "source_chunk", keep: int = 4096, seen: Repeats | None = None) -> DataFrame:
     """(record_id, line_no) of each line that is page furniture.
 
+    ``seen`` is counted over the table's texts unless it is given.
+
     Lines are split at ``\\n`` and numbered from 1; blank lines never count. Null and
     empty texts give no rows. Rows of one record delivered twice give their
     lines once. Records that share a text mostly lie together: each task keeps
     the answers for its last ``keep`` texts, which changes no result.
     """
+    shared = df.sparkSession.sparkContext.broadcast(seen or repeats(df, text))
 
     def run(batches):
         last: dict[str, list[int]] = {}
+        table = shared.value
         for b in batches:
             ids, nos = [], []
             for i, t in zip(b["i"], b["t"]):
@@ -451,7 +570,7 @@ def page_furniture(df: DataFrame, record_id: str = "record_id", text: str = "sou
                 if got is None:
                     if len(last) >= keep:
                         last.clear()
-                    got = last[t] = furniture_lines(t)
+                    got = last[t] = furniture_lines(t, table)
                 ids += [i] * len(got)
                 nos += got
             yield pd.DataFrame({"record_id": pd.Series(ids, dtype="int64"), "line_no": pd.Series(nos, dtype="int64")})
@@ -460,20 +579,66 @@ def page_furniture(df: DataFrame, record_id: str = "record_id", text: str = "sou
     return rows.mapInPandas(run, "record_id long, line_no long").distinct()
 
 
-def main_body(df: DataFrame, record_id: str = "record_id", text: str = "source_chunk") -> DataFrame:
-    """(record_id, body): each text without its furniture lines, blank lines collapsed; null stays null, HTML is rendered first."""
+def render_page(root: Node, gone: set[int]) -> str:
+    """The lines of a page's tree that are in ``gone`` left out: blocks apart by one blank line, cells of a table aligned, code as it is."""
+    out: list[list[str]] = []
+
+    def walk(node: Node) -> None:
+        for c in node.children:
+            if c.tag not in ("block", "pre") or not c.children or "line" not in c.children[0].attrs:
+                walk(c)
+                continue
+            kept = [x for x in c.children if x.attrs["line"] + 1 not in gone and x.tag != "tag"]
+            if c.tag == "pre" and out and out[-1][0] is c.tag and kept and out[-1][1] == kept[0].attrs["line"]:
+                out[-1] += [x.attrs.get("raw", x.attrs["text"]) for x in kept]
+                out[-1][1] = kept[-1].attrs["line"] + 1
+            elif kept:
+                out.append([c.tag, kept[-1].attrs["line"] + 1, *_aligned(kept)])
+
+    walk(root)
+    return "\n\n".join("\n".join(x[2:]) for x in out)
+
+
+def _aligned(nodes: list[Node]) -> list[str]:
+    """Lines of a block; the cells of adjacent table rows get one width a column."""
+    lines: list[str] = []
+    rows: list[list[str]] = []
+
+    def flush() -> None:
+        wide = [max(len(r[k]) for r in rows if k < len(r)) for k in range(max(map(len, rows), default=0))]
+        for r in rows:
+            rule = all(re.fullmatch(r":?-+:?", v) for v in r)
+            lines.append("| " + " | ".join("-" * wide[k] if rule else v.ljust(wide[k]) for k, v in enumerate(r)) + " |")
+        rows.clear()
+
+    for x in nodes:
+        s = x.attrs.get("raw", x.attrs["text"])
+        if x.tag == "tr":
+            rows.append([v.strip() for v in s.strip().strip("|").split("|")])
+        else:
+            flush()
+            lines.append(s.rstrip())
+    flush()
+    return lines
+
+
+def main_body(df: DataFrame, record_id: str = "record_id", text: str = "source_chunk", seen: Repeats | None = None) -> DataFrame:
+    """(record_id, body): each text rendered from its block tree without its furniture lines; null stays null.
+
+    Texts written as HTML are first rendered from their elements, so that markup
+    that shares a line is told apart too. ``seen`` is counted over the table's texts unless it is given.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(seen or repeats(df, text))
 
-    def one(t: str | None) -> str | None:
+    def one(t: str | None, table: Repeats) -> str | None:
         if t is None:
             return None
         if re.search(r"<(?:html|body|div|p|nav|table|ul|article)\b", t, re.I):
             t = render(tree(t))
-        bad = set(furniture_lines(t))
-        kept = [x for i, x in enumerate(t.split("\n"), 1) if i not in bad]
-        return re.sub(r"\n{3,}", "\n\n", "\n".join(kept)).strip("\n")
+        return render_page(page_tree(t), set(furniture_lines(t, table)))
 
     def run(batches):
         for b in batches:
-            yield pd.DataFrame({"record_id": b["i"], "body": [one(t) for t in b["t"]]})
+            yield pd.DataFrame({"record_id": b["i"], "body": [one(t, shared.value) for t in b["t"]]})
 
     return df.select(F.col(record_id).cast("long").alias("i"), F.col(text).alias("t")).mapInPandas(run, "record_id long, body string")

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from siltworks.llm.page_body import furniture_lines, main_body, page_furniture, render, tree
+from siltworks.llm.page_body import furniture_lines, main_body, page_furniture, render, repeats, tree
 
 PAGE = """Skip to content
 * [Home](/home)
@@ -108,3 +108,41 @@ A last sentence."""
         '<li><a href="/x">Some link</a>', '<p style="display: none">Not shown at all.</p>', '<div role="search">', "Anything here.", "</div>",
         "<script>", "if (a < b) { go(); }", "</script>", "<footer>The end of it all.</footer>",
     ]
+
+
+def test_elements_nested_deeply_keep_their_sight():
+    deep = "<div>" * 600 + "<nav>menu</nav><p hidden>no</p><section><p>yes</p></section>" + "</div>" * 600 + "<p>after</p>"
+    assert render(tree(deep)) == "yes\n\nafter"
+    assert render(tree(deep), main_only=False) == "menu\n\nyes\n\nafter"
+
+
+def test_repeated_lines_apart_from_prose_are_furniture(spark):
+    def page(k):
+        return f"""Brezel {"Haus Tor Rad".split()[k % 3]} zum Mitnehmen
+Topf
+
+# Page {k}
+A sentence about the matter number{k} that has ten words or more in it.
+A line that stands below the prose of all pages here.
+
+Some paragraph of page{k} with its own words, which is long enough to be prose.
+```
+Topf
+```
+{"word " * 90}{k} and a long notice in one line of more than 260 characters"""
+
+    df = spark.createDataFrame([(k, page(k)) for k in range(12)] + [(0, page(0)), (99, None), (98, "")], "record_id long, source_chunk string")
+    assert furniture_lines(page(3)) == []
+    got = {(r["record_id"], r["line_no"]) for r in page_furniture(df).collect()}
+    # the long line differs in its number alone, which is none of its words
+    assert got == {(k, n) for k in range(12) for n in (1, 2, 12)}
+    body = {r["record_id"]: r["body"] for r in main_body(df).collect()}
+    assert body[4].startswith("# Page 4\nA sentence") and body[4].endswith("```\nTopf\n```") and body[99] is None and body[98] == ""
+    assert repeats(df.limit(0)).pages.sum() == 0
+
+
+def test_bodies_are_rendered():
+    from siltworks.llm.page_body import page_tree, render_page
+
+    t = "One\n\n\n\n| a | bcd |\n|---|---|\n| long | 1 |\n\n```\n  x\n\n  y\n```\n* i\n  * j"
+    assert render_page(page_tree(t), {1}) == "| a    | bcd |\n| ---- | --- |\n| long | 1   |\n\n```\n  x\n\n  y\n```\n\n* i\n  * j"
