@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import BLANKS, named_section, normal_url
@@ -83,6 +83,13 @@ def p2_splits(spark, d):
     return related_splits(table(spark, d, "canonical"), "record_id", _section_keys())
 
 
+@query
+def p2_shares(spark, d):
+    """Records and components of each split, and its share of all records."""
+    s = related_splits(table(spark, d, "canonical"), "record_id", _section_keys()).groupBy("split").agg(F.count("*").alias("records"), F.countDistinct("component").alias("components"))
+    return s.select("split", "records", "components", F.round(F.col("records") / F.sum("records").over(Window.partitionBy()), 4).alias("share"))
+
+
 @query
 def p5_found(spark, d):
     members, pairs = overlaps(table(spark, d, "canonical"), table(spark, d, "record_splits"))

@@ -3,11 +3,15 @@
 Method: hash-to-min over the graph of entities (values of the key columns that
 records share), then weighted rendezvous hashing of the components. A cluster
 is never gathered: membership is a relation of (node, member) rows, a round is
-one aggregation and one join, so the largest component is spread over tasks.
+one aggregation and one join. The minimum of a large component holds all its
+members; such nodes, of which there are few, are joined by broadcast, so their
+rows stay where they are and the largest component is spread over tasks.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 from ..checkpoints import cut
 
 
-def entity_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def entity_components(edges: DataFrame, max_rounds: int = 64, heavy: int = 1000) -> DataFrame:
     """edges(a, b) of strings to (node, component): the smallest node of each connected part in byte order.
 
     Nulls join nothing; an edge of a node with itself makes it a part of its
@@ -36,10 +40,11 @@ def entity_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     # every node knows itself, also where only leaves hang on it
     alone = both.select(F.col("a").alias("node")).union(leaf.select(F.col("peer").alias("node"))).distinct().join(leaf.select("node"), "node", "left_anti")
     cluster = cut(core.union(alone.select("node", F.col("node").alias("member"))).distinct())
-    before = None
+    before, rows = None, cluster.count()
     for _ in range(max_rounds):
-        low = cluster.groupBy("node").agg(F.min("member").alias("low"))
-        sent = cluster.join(low, "node").select("low", "member", "node")
+        low = cut(cluster.groupBy("node").agg(F.min("member").alias("low"), F.count("*").alias("n")))
+        crowded = F.broadcast(low.where(F.col("n") * heavy > rows).select("node", "low"))
+        sent = cluster.join(crowded, "node").union(cluster.join(crowded.select("node"), "node", "left_anti").join(low.where(F.col("n") * heavy <= rows).select("node", "low"), "node")).select("low", "member", "node")
         # the whole cluster goes to its minimum, the minimum goes to every member
         up = sent.select(F.col("low").alias("node"), "member")
         down = sent.select(F.col("member").alias("node"), F.col("low").alias("member"))
@@ -47,7 +52,7 @@ def entity_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         now = cluster.agg(F.count("*"), F.sum(F.xxhash64("node", "member").cast("decimal(38,0)"))).first()
         if now == before:
             break
-        before = now
+        before, rows = now, now[0]
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     found = cluster.groupBy("node").agg(F.min("member").alias("component"))
@@ -78,27 +83,64 @@ def rendezvous(key: Column, weights: Mapping[str, float], seed: int = 0) -> Colu
     return F.least(*scores)["name"] if len(scores) > 1 else scores[0]["name"]
 
 
-def entity_map(df: DataFrame, record_id: str, keys: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """(record_id, entities) and (node, component) of all entities."""
+def entity_map(df: DataFrame, record_id: str, keys: Mapping[str, Column], whole_records: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(record_id, entities) and (node, component) of all entities.
+
+    With ``whole_records`` different entities of one record's rows are joined over the record too.
+    """
     ents = record_entities(df, record_id, keys)
-    # a star on the first entity links all of a record's
+    # a star on the first entity links all of a row's
     edges = ents.select(F.col("entities")[0].alias("a"), F.explode("entities").alias("b")).distinct()
+    if whole_records:
+        firsts = ents.groupBy("record_id").agg(F.min(F.col("entities")[0]).alias("a"), F.max(F.col("entities")[0]).alias("b")).where("a <> b").select("record_id", "a")
+        edges = edges.union(ents.join(firsts, "record_id").select("a", F.explode("entities").alias("b")))
     return ents, entity_components(edges)
 
 
-def related_splits(df: DataFrame, record_id: str, keys: Mapping[str, Column], weights: Mapping[str, float] | None = None, seed: int = 0) -> DataFrame:
+def placed(sizes: list[tuple[str, int]], shares: Mapping[str, float], total: int, seed: int = 0) -> tuple[dict[str, str], dict[str, float]]:
+    """(component to split, what is left of each share) for heavy components, the largest first.
+
+    Each goes, by weighted rendezvous hashing with what is left as weights, to
+    one of the splits that have room for it, or else to the one with most room.
+    """
+    left = {n: w * total / sum(shares.values()) for n, w in shares.items()}
+    out = {}
+    for name, size in sorted(sizes, key=lambda c: (-c[1], c[0])):
+        room = [n for n in left if left[n] >= size]
+
+        def score(n, name=name):
+            u = (int.from_bytes(hashlib.blake2b(f"{seed}|{name}|{n}".encode(), digest_size=8).digest(), "big") + 0.5) / 2**64
+            return -math.log(u) / left[n]
+
+        to = min(room, key=score) if room else max(left, key=lambda n: (left[n], n))
+        out[name] = to
+        left[to] -= size
+    return out, {n: max(0.0, v) for n, v in left.items()}
+
+
+def related_splits(df: DataFrame, record_id: str, keys: Mapping[str, Column], weights: Mapping[str, float] | None = None, seed: int = 0, heavy: int = 2000) -> DataFrame:
     """record_id, component, split: records that share an entity, directly or over others, get one split.
 
-    Proportions hold over components; a component that is larger than a split's
-    share overfills it, since it may not be divided. Null and empty values join
+    Proportions hold over records. Components of more than one in ``heavy``
+    records, fewer than ``heavy``, are counted on the driver and placed first by what is left of
+    each share (:func:`placed`); all others go by rendezvous hashing weighted
+    with what is left then. A component larger than a share overfills a split,
+    since it may not be divided. Null and empty values join
     nothing. Repeated rows of a record count once; if rows of one record name
     different entities, all of these are joined. An empty table gives no rows.
     """
-    ents, comp = entity_map(df, record_id, keys)
-    # rows of one record_id with different entities are joined over the record itself
-    firsts = ents.groupBy("record_id").agg(F.min(F.col("entities")[0]).alias("entity"), F.max(F.col("entities")[0]).alias("other"))
-    if firsts.where("entity <> other").limit(1).count():
-        star = ents.join(firsts.select("record_id", "entity"), "record_id").select(F.col("entity").alias("a"), F.explode("entities").alias("b")).distinct()
-        edges = ents.select(F.col("entities")[0].alias("a"), F.explode("entities").alias("b")).distinct()
-        comp = entity_components(edges.union(star))
-    return firsts.join(comp.withColumnRenamed("node", "entity"), "entity").select("record_id", "component", rendezvous(F.col("component"), weights or {"train": 0.8, "validation": 0.1, "test": 0.1}, seed).alias("split"))
+    shares = dict(weights or {"train": 0.8, "validation": 0.1, "test": 0.1})
+    if not shares or any(w < 0 for w in shares.values()) or not any(shares.values()):
+        raise ValueError("weights must be non-negative and not all zero")
+    ents, comp = entity_map(df, record_id, keys, whole_records=True)
+    firsts = ents.groupBy("record_id").agg(F.min(F.col("entities")[0]).alias("entity"))
+    of = cut(firsts.join(comp.withColumnRenamed("node", "entity"), "entity").select("record_id", "component"))
+    sizes = of.groupBy("component").agg(F.count("*").alias("n"))
+    total = of.count()
+    big = [(r["component"], r["n"]) for r in sizes.where(F.col("n") * heavy > total).collect()]
+    at, left = placed(big, shares, total, seed)
+    light = rendezvous(F.col("component"), left if any(left.values()) else shares, seed)
+    if not at:
+        return of.select("record_id", "component", light.alias("split"))
+    table = F.broadcast(df.sparkSession.createDataFrame(list(at.items()), "component string, place string"))
+    return of.join(table, "component", "left").select("record_id", "component", F.coalesce("place", light).alias("split"))

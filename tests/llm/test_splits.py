@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from siltworks.llm.splits import entity_components, related_splits, rendezvous
+from siltworks.llm.splits import entity_components, placed, related_splits, rendezvous
 
 
 def union_find(edges):
@@ -27,8 +27,9 @@ def test_components_of_random_graphs(spark, seed):
     rnd = random.Random(seed)
     edges = [(f"n{rnd.randrange(60):02d}", f"n{rnd.randrange(60):02d}") for _ in range(45)] + [(f"c{i:02d}", f"c{i + 1:02d}") for i in range(20)] + [("hub", f"l{i}") for i in range(25)]
     df = spark.createDataFrame(edges, "a string, b string")
-    got = {r["node"]: r["component"] for r in entity_components(df).collect()}
-    assert got == union_find(edges)
+    for heavy in (1, 20, 1000):
+        got = {r["node"]: r["component"] for r in entity_components(df, heavy=heavy).collect()}
+        assert got == union_find(edges)
 
 
 def test_splits_keep_related_together(spark):
@@ -49,3 +50,23 @@ def test_rendezvous_shares_and_stability(spark):
     assert moved == 0
     with pytest.raises(ValueError):
         rendezvous(F.lit("x"), {})
+
+
+def test_shares_hold_over_records(spark):
+    rnd = random.Random(6)
+    sizes = [250, 130, 90, 60] + [rnd.randrange(1, 12) for _ in range(300)]
+    rows = [(f"{k}-{i}", f"s{k}") for k, n in enumerate(sizes) for i in range(n)]
+    df = spark.createDataFrame(rows, "record_id string, section string")
+    for heavy in (100, 2000):
+        got = related_splits(df, "record_id", {"section": F.col("section")}, heavy=heavy).collect()
+        assert len(got) == len(rows) and len({(r["component"], r["split"]) for r in got}) == len(sizes)
+        n = {s: sum(r["split"] == s for r in got) / len(rows) for s in ("train", "validation", "test")}
+        # the fewer are placed by size, the more is left to hashing
+        near = {100: 0.03, 2000: 0.01}[heavy]
+        assert abs(n["train"] - 0.8) < near and abs(n["validation"] - 0.1) < near
+
+
+def test_placing_overfills_only_where_nothing_fits():
+    at, left = placed([("a", 95), ("b", 5)], {"train": 0.8, "test": 0.2}, 100)
+    assert at == {"a": "train", "b": "test"} and left == {"train": 0.0, "test": 15.0}
+    assert placed([], {"x": 1.0}, 0) == ({}, {"x": 0.0})
