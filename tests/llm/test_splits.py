@@ -61,8 +61,8 @@ def test_shares_hold_over_records(spark):
         got = related_splits(df, "record_id", {"section": F.col("section")}, heavy=heavy).collect()
         assert len(got) == len(rows) and len({(r["component"], r["split"]) for r in got}) == len(sizes)
         n = {s: sum(r["split"] == s for r in got) / len(rows) for s in ("train", "validation", "test")}
-        # the fewer are placed by size, the more is left to hashing
-        near = {100: 0.03, 2000: 0.01}[heavy]
+        # 300 small ones by hash, of 6 records on average: three standard deviations are 0.055
+        near = {100: 0.055, 2000: 0.01}[heavy]
         assert abs(n["train"] - 0.8) < near and abs(n["validation"] - 0.1) < near
 
 
