@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import near_key
@@ -21,13 +21,18 @@ def _histograms(texts: list[str]) -> np.ndarray:
     return np.stack([np.bincount(table[np.frombuffer(t.encode("ascii", "ignore"), np.uint8)], minlength=37) for t in texts]) if texts else np.zeros((0, 37), np.int64)
 
 
-def near_duplicates(df: DataFrame, field: str = "answer", threshold: float = ANSWER_THRESHOLD, seq: str = "record_seq", group: str = "source_url", block: int = 128) -> DataFrame:
-    """(i, j, ratio) of pairs of different rows of one group, i < j by ``seq``, of ratio ``threshold`` or more.
+def near_classes(df: DataFrame, field: str = "answer", threshold: float = ANSWER_THRESHOLD, seq: str = "record_seq", group: str = "source_url", block: int = 128) -> tuple[DataFrame, DataFrame]:
+    """(members, pairs) of rows of one group whose near keys have ratio ``threshold`` or more.
+
+    members(s, cls): each row's class of equal keys in its group, named by its
+    first row. pairs(a, b, forward, backward, mixed) of different classes, a < b:
+    the ratio depends on which text comes first, so ``forward`` holds for rows of
+    a before rows of b and ``backward`` for the other order; null below the threshold and,
+    if the two do not mix, for the order that does not occur. Rows of one class have ratio 1.
 
     The ratio is 2 x matching characters / all characters of both near keys, with
     the matching blocks of the later row against the earlier one and the usual
-    skipping of popular characters from 200 characters on; two empty keys have ratio 1. Equal
-    keys of a group are compared once, as a class with its members; a null group is a group.
+    skipping of popular characters from 200 characters on. A null group is a group, null texts are empty.
 
     Pairs are never rows before they pass: a group is dealt into blocks of about
     ``block`` classes, every pair of blocks is a task's work, and inside it the
@@ -36,19 +41,29 @@ def near_duplicates(df: DataFrame, field: str = "answer", threshold: float = ANS
     """
     if not 0 <= threshold <= 1:
         raise ValueError("threshold must be in [0, 1]")
-    rows = df.select(F.coalesce(F.col(group), F.lit("")).alias("g"), F.col(seq).cast("long").alias("s"), near_key(F.col(field)).alias("t"))
-    classes = rows.groupBy("g", "t").agg(F.min("s").alias("first"), F.count("*").alias("n"))
+    rows = df.select(F.coalesce(F.col(group), F.lit("")).alias("g"), F.col(seq).cast("long").alias("s"), near_key(F.col(field)).alias("t")).withColumn("h", F.md5("t"))
+    classes = rows.groupBy("g", "h").agg(F.min("s").alias("first"), F.max("s").alias("last"), F.min("t").alias("t"))
     sizes = classes.groupBy("g").agg(F.count("*").alias("k")).where("k > 1")
     dealt = classes.join(sizes, "g").withColumn("blocks", F.ceil(F.col("k") / F.lit(block)).cast("int")).withColumn("b", F.pmod(F.xxhash64("t"), F.col("blocks")).cast("int"))
-    spread = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("g", "b", F.least("b", "o").alias("x"), F.greatest("b", "o").alias("y"), "first", "t")
+    spread = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("g", "b", F.least("b", "o").alias("x"), F.greatest("b", "o").alias("y"), "first", "last", "t")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         from difflib import SequenceMatcher
 
         pdf = pdf.sort_values("first")
-        texts, firsts, b = pdf["t"].tolist(), pdf["first"].to_numpy(), pdf["b"].to_numpy()
+        texts, firsts, lasts, b = pdf["t"].tolist(), pdf["first"].to_numpy(), pdf["last"].to_numpy(), pdf["b"].to_numpy()
         same = pdf["x"].iloc[0] == pdf["y"].iloc[0]
         hist, size = _histograms(texts), np.asarray([len(t) for t in texts])
+        matchers: dict[int, SequenceMatcher] = {}
+
+        def ratio(later: int, earlier: int) -> float:
+            m = matchers.get(earlier)
+            if m is None:
+                m = matchers[earlier] = SequenceMatcher(None)
+                m.set_seq2(texts[earlier])
+            m.set_seq1(texts[later])
+            return m.ratio()
+
         out = []
         for i in range(len(texts)):
             js = np.arange(i + 1, len(texts))
@@ -58,25 +73,53 @@ def near_duplicates(df: DataFrame, field: str = "answer", threshold: float = ANS
                 continue
             total = size[i] + size[js]
             bound = np.where(total == 0, 1.0, 2.0 * np.minimum(hist[js], hist[i]).sum(1) / np.maximum(total, 1))
-            matcher = None
             for j in js[bound >= threshold]:
-                if matcher is None:
-                    matcher = SequenceMatcher(None)
-                    matcher.set_seq2(texts[i])
-                matcher.set_seq1(texts[j])
-                r = matcher.ratio()
-                if r >= threshold:
-                    out.append((pdf["g"].iloc[0], firsts[i], firsts[j], r))
-        return pd.DataFrame(out, columns=["g", "a", "b", "ratio"])
+                mixed = bool(lasts[i] > firsts[j])
+                found = [ratio(j, i), ratio(i, j) if mixed else -1.0]
+                if max(found) >= threshold:
+                    out.append((firsts[i], firsts[j], *[r if r >= threshold else None for r in found], mixed))
+            # an index of a text is only needed later where classes mix
+            matchers.pop(i, None)
+        return pd.DataFrame(out, columns=["a", "b", "forward", "backward", "mixed"])
 
     # comparing costs far more than its input's bytes tell, so the number of tasks is not left to their size
     spark = df.sparkSession
     tasks = max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    near = spread.repartition(tasks, "g", "x", "y").groupBy("g", "x", "y").applyInPandas(compare, "g string, a long, b long, ratio double")
-    member = rows.join(classes.select("g", "t", "first"), ["g", "t"]).select("g", "s", "first")
-    left, right = member.select("g", F.col("first").alias("a"), F.col("s").alias("p")), member.select("g", F.col("first").alias("b"), F.col("s").alias("q"))
-    crossed = near.join(left, ["g", "a"]).join(right, ["g", "b"]).select(F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "ratio")
-    return crossed
+    pairs = spread.repartition(tasks, "g", "x", "y").groupBy("g", "x", "y").applyInPandas(compare, "a long, b long, forward double, backward double, mixed boolean")
+    return rows.select("g", "h", "s").join(classes.select("g", "h", F.col("first").alias("cls")), ["g", "h"]).select("s", "cls"), pairs
+
+
+def _halves(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs all of whose rows are near, and those of which only one order is."""
+    part = F.col("mixed") & (F.col("forward").isNull() | F.col("backward").isNull())
+    return pairs.where(~part), pairs.where(part)
+
+
+def near_links(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(s, cls, links): each row's class and how many rows it is near to; half the sum of links is the number of pairs."""
+    n = members.groupBy("cls").agg(F.count("*").alias("n"))
+    sized = pairs.join(n.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b")
+    whole, part = _halves(sized)
+    of_class = whole.select(F.col("a").alias("cls"), F.col("nb").alias("links")).union(whole.select("b", "na")).groupBy("cls").agg(F.sum("links").alias("more"))
+    one = lambda side: part.join(members.withColumnRenamed("cls", side), side).select("a", "b", "na", "nb", F.col("forward").isNotNull().alias("fwd"), "s", F.lit(side == "a").alias("of_a"))
+    order = Window.partitionBy("a", "b").orderBy("s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    told = one("a").union(one("b")).withColumn("before", F.sum(F.when(F.col("of_a"), 0).otherwise(1)).over(order)).withColumn("before_a", F.sum(F.when(F.col("of_a"), 1).otherwise(0)).over(order))
+    links = F.when(F.col("of_a"), F.when(F.col("fwd"), F.col("nb") - F.col("before")).otherwise(F.col("before"))).otherwise(F.when(F.col("fwd"), F.col("before_a")).otherwise(F.col("na") - F.col("before_a")))
+    of_row = told.groupBy("s").agg(F.sum(links).alias("own"))
+    return members.join(n, "cls").join(of_class, "cls", "left").join(of_row, "s", "left").select("s", "cls", (F.col("n") - 1 + F.coalesce("more", F.lit(0)) + F.coalesce("own", F.lit(0))).alias("links"))
+
+
+def near_duplicates(df: DataFrame, field: str = "answer", threshold: float = ANSWER_THRESHOLD, seq: str = "record_seq", group: str = "source_url", block: int = 128) -> DataFrame:
+    """(i, j, ratio) of all pairs of rows of one group, i < j by ``seq``, of ratio ``threshold`` or more.
+
+    :func:`near_classes` written out: quadratic in the copies of a text. Use classes and
+    :func:`near_links` where copies are many.
+    """
+    members, pairs = near_classes(df, field, threshold, seq, group, block)
+    left, right = members.select(F.col("cls").alias("a"), F.col("s").alias("p")), members.select(F.col("cls").alias("b"), F.col("s").alias("q"))
+    crossed = pairs.join(left, "a").join(right, "b").withColumn("ratio", F.when(F.col("p") < F.col("q"), F.col("forward")).otherwise(F.col("backward"))).where("ratio is not null")
+    equal = left.join(right.withColumnRenamed("b", "a"), "a").where("p < q").select("p", "q", F.lit(1.0))
+    return crossed.select(F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "ratio").union(equal)
 
 
 def duplicate_classes(df: DataFrame, field: str = "answer", seq: str = "record_seq", group: str = "source_url") -> DataFrame:
@@ -90,19 +133,32 @@ def semantic_dedup(df: DataFrame, field: str = "answer", threshold: float = ANSW
     """(kept rows, reasons): of each near pair the row with the shorter raw text is dropped, the later one on a tie.
 
     reasons(seq, winner, ratio) has of each dropped row the pair of highest
-    ratio, the first by (i, j) on a tie; a winner may itself be dropped. Exact copies
-    of a key drop all but the longest raw text (the first on a tie). ``dry_run`` keeps all rows.
+    ratio, the first by (i, j) on a tie; a winner may itself be dropped. ``dry_run`` keeps all rows.
+
+    Inside a class all rows but the first of the longest lose at ratio 1, the
+    most there is, so of each class only that row can lose to another class.
     """
-    rows = df.withColumn("_len", F.length(F.coalesce(F.col(field), F.lit(""))))
-    size = rows.select(F.col(seq).cast("long").alias("s"), F.col("_len").alias("n"))
-    pairs = near_duplicates(df, field, threshold, seq, group)
-    sized = pairs.join(size.select(F.col("s").alias("i"), F.col("n").alias("ni")), "i").join(size.select(F.col("s").alias("j"), F.col("n").alias("nj")), "j")
-    first_loses = F.col("ni") < F.col("nj")
-    near = sized.select(F.when(first_loses, F.col("i")).otherwise(F.col("j")).alias("loser"), F.when(first_loses, F.col("j")).otherwise(F.col("i")).alias("winner"), "ratio", "i", "j")
-    keyed = rows.select(F.coalesce(F.col(group), F.lit("")).alias("g"), near_key(F.col(field)).alias("t"), F.col(seq).cast("long").alias("s"), F.col("_len").alias("n"))
-    best = keyed.groupBy("g", "t").agg(F.max(F.struct("n", -F.col("s"))).alias("m"), F.count("*").alias("k")).where("k > 1")
-    copies = keyed.join(best, ["g", "t"]).withColumn("w", -F.col("m")["col2"]).where("s <> w").select(F.col("s").alias("loser"), F.col("w").alias("winner"), F.lit(1.0).alias("ratio"), F.least("s", "w").alias("i"), F.greatest("s", "w").alias("j"))
-    found = near.unionByName(copies)
-    reasons = found.groupBy("loser").agg(F.max_by(F.struct("winner", "ratio"), F.struct("ratio", -F.col("i"), -F.col("j"))).alias("m")).select(F.col("loser").alias(seq), F.col("m.winner").alias("winner"), F.round("m.ratio", 3).alias("ratio"))
+    members, pairs = near_classes(df, field, threshold, seq, group)
+    rows = members.join(df.select(F.col(seq).cast("long").alias("s"), F.length(F.coalesce(F.col(field), F.lit(""))).alias("n")), "s")
+    lengths = rows.groupBy("cls", "n").agg(F.min("s").alias("first"))
+    best = lengths.groupBy("cls").agg(F.max(F.struct("n", (-F.col("first")).alias("back"))).alias("m")).select("cls", F.col("m.n").alias("n"), (-F.col("m.back")).alias("r"))
+    losers = rows.join(best.select("cls", "r"), "cls").where("s <> r").select("cls", "s", "n")
+    rivals = losers.join(lengths.select("cls", F.col("n").alias("m"), "first"), "cls")
+    earlier = F.min(F.when((F.col("m") >= F.col("n")) & (F.col("first") < F.col("s")), F.col("first")))
+    later = F.min(F.when(F.col("m") > F.col("n"), F.col("first")))
+    own = rivals.groupBy("s").agg(F.coalesce(earlier, later).alias("winner")).select(F.col("s").alias("loser"), "winner", F.lit(1.0).alias("ratio"))
+
+    def lost(of: str, to: str, before: str, after: str) -> DataFrame:
+        x = pairs.join(best.select(F.col("cls").alias(of), "r", "n"), of).join(rows.select(F.col("cls").alias(to), F.col("s").alias("w"), F.col("n").alias("m")), to)
+        e1 = F.min(F.when((F.col("w") < F.col("r")) & (F.col("m") >= F.col("n")) & F.col(before).isNotNull(), F.struct(before, "w")))
+        e2 = F.min(F.when((F.col("w") > F.col("r")) & (F.col("m") > F.col("n")) & F.col(after).isNotNull(), F.struct(after, "w")))
+        got = x.groupBy("a", "b", "r").agg(e1.alias("e1"), e2.alias("e2"))
+        both = F.array_compact(F.array(F.struct(F.col(f"e1.{before}").alias("ratio"), F.col("e1.w").alias("winner")), F.struct(F.col(f"e2.{after}").alias("ratio"), F.col("e2.w").alias("winner"))))
+        return got.select(F.col("r").alias("loser"), F.explode(both).alias("x")).where("x.winner is not null").select("loser", "x.winner", "x.ratio")
+
+    # rows of a stand before rows of b at the forward ratio
+    found = own.union(lost("b", "a", "forward", "backward")).union(lost("a", "b", "backward", "forward"))
+    first = F.struct("ratio", -F.least("loser", "winner"), -F.greatest("loser", "winner"))
+    reasons = found.groupBy("loser").agg(F.max_by(F.struct("winner", "ratio"), first).alias("m")).select(F.col("loser").alias(seq), F.col("m.winner").alias("winner"), F.round("m.ratio", 3).alias("ratio"))
     kept = df if dry_run else df.join(reasons.select(seq), seq, "left_anti")
     return kept, reasons

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut
 from ..functions.text import chunk_key
-from .near_dup import ANSWER_THRESHOLD, QUESTION_THRESHOLD, near_duplicates
+from .near_dup import ANSWER_THRESHOLD, QUESTION_THRESHOLD, near_classes, near_links
 
 THRESHOLDS = tuple(k / 10 for k in range(1, 10))
 
@@ -52,19 +53,46 @@ def redundancy_by_cause(records: DataFrame, pairs: DataFrame, seq: str = "record
     return j.groupBy(redundancy_cause().alias("cause")).agg(F.count("*").alias("pairs"))
 
 
+def redundancy_of_classes(records: DataFrame, members: DataFrame, pairs: DataFrame, seq: str = "record_seq") -> DataFrame:
+    """(cause, pairs) of near-duplicate pairs given as classes: members(s, cls) and pairs of classes.
+
+    Pairs of one chunk and of adjacent chunks are counted by joins on chunk and
+    place, all others by what is left of the products of class sizes, so copies are
+    never written out. Only interleaved classes that are near in one order alone are.
+    """
+    place = records.select(F.col(seq).cast("long").alias("s"), F.coalesce("source_url", F.lit("")).alias("url"), F.xxhash64("source_chunk").alias("chunk"), F.col("chunk_index").cast("long").alias("at"))
+    unit = cut(members.join(place, "s").groupBy("cls", "url", "chunk", "at").agg(F.count("*").alias("n")))
+    size = unit.groupBy("cls").agg(F.sum("n").alias("n"))
+    part = F.col("mixed") & (F.col("forward").isNull() | F.col("backward").isNull())
+    both = cut(pairs.where(~part).select("a", "b").union(size.where("n > 1").select("cls", "cls")))
+    named = lambda df, side: df.select(*[F.col(c).alias(f"{c}_{side}") if c not in ("url", "chunk") else F.col(c) for c in df.columns])
+    product = F.when(F.col("a") == F.col("b"), F.col("n_a") * (F.col("n_a") - 1) / 2).otherwise(F.col("n_a") * F.col("n_b"))
+    total = both.join(named(size, "a").withColumnRenamed("cls_a", "a"), "a").join(named(size, "b").withColumnRenamed("cls_b", "b"), "b").agg(F.sum(product).cast("long").alias("n"))
+    chunk = unit.groupBy("cls", "url", "chunk").agg(F.sum("n").alias("n"))
+    left = both.join(named(chunk, "a").withColumnRenamed("cls_a", "a"), "a")
+    same = left.join(named(chunk, "b").withColumnRenamed("cls_b", "b"), ["b", "url", "chunk"]).agg(F.sum(product).cast("long").alias("n"))
+    steps = unit.withColumn("step", F.explode(F.array(F.lit(1), F.lit(-1)))).withColumn("to", F.col("at") + F.col("step"))
+    near = both.join(steps.select(F.col("cls").alias("a"), "url", F.col("chunk").alias("chunk_a"), F.col("n").alias("n_a"), "step", "to"), "a").join(unit.select(F.col("cls").alias("b"), "url", F.col("chunk").alias("chunk_b"), F.col("n").alias("n_b"), F.col("at").alias("to")), ["b", "url", "to"])
+    beside = near.where("chunk_a <> chunk_b and (a <> b or step = 1)").agg(F.sum(F.col("n_a") * F.col("n_b")).cast("long").alias("n"))
+    # what is neither of one chunk nor of adjacent ones is of other cause
+    counts = total.select(F.lit("other").alias("cause"), F.col("n").alias("pairs")).union(same.selectExpr("stack(2, 'same_chunk', n, 'other', -n)")).union(beside.selectExpr("stack(2, 'adjacent_chunk', n, 'other', -n)"))
+    side = lambda c, s: members.select(F.col("cls").alias(c), F.col("s").alias(s))
+    written = pairs.where(part).join(side("a", "p"), "a").join(side("b", "q"), "b").where((F.col("p") < F.col("q")) == F.col("forward").isNotNull())
+    few = redundancy_by_cause(records, written.select(F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j")), seq)
+    return counts.union(few).groupBy("cause").agg(F.sum("pairs").alias("pairs")).where("pairs > 0")
+
+
 def dataset_report(records: DataFrame, seq: str = "record_seq", scored: DataFrame | None = None) -> dict:
     """Counts of a dataset. Near pairs of answers are found once and used for count and causes."""
     pages = pairs_per_page(records).agg(F.count("*").alias("pages"), F.sum("pairs").alias("total"), F.min("pairs").alias("least"), F.max("pairs").alias("most"), F.avg("pairs").alias("mean")).first()
     distinct = records.select(chunk_key(F.coalesce("question", F.lit(""))).alias("k")).distinct().count()
-    answers = near_duplicates(records, "answer", ANSWER_THRESHOLD, seq).persist()
-    try:
-        causes = {r["cause"]: r["pairs"] for r in redundancy_by_cause(records, answers, seq).collect()}
-    finally:
-        answers.unpersist()
+    members, pairs = near_classes(records, "answer", ANSWER_THRESHOLD, seq)
+    causes = {r["cause"]: r["pairs"] for r in redundancy_of_classes(records, members, cut(pairs), seq).collect()}
+    asked = near_links(*near_classes(records, "question", QUESTION_THRESHOLD, seq)).agg(F.sum("links")).first()[0] or 0
     out = {
         "total": pages["total"] or 0, "pages": pages["pages"], "least": pages["least"], "most": pages["most"], "mean": pages["mean"],
         "exact_duplicate_questions": (pages["total"] or 0) - distinct,
-        "near_duplicate_questions": near_duplicates(records, "question", QUESTION_THRESHOLD, seq).count(),
+        "near_duplicate_questions": asked // 2,
         "near_duplicate_answers": sum(causes.values()),
         "causes": {c: causes.get(c, 0) for c in ("same_chunk", "adjacent_chunk", "other")},
     }

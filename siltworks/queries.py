@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .checkpoints import cut
 from .functions import html, qajson, robots, splitter, text, urls
 from .functions.urls import normal_url
 from .operators import chunks, frontier, near_dup, reports, scope
@@ -328,13 +329,29 @@ def mined_triplets(spark, d):
 @query
 def near_duplicate_answers(spark, d):
     r = records(spark, d, "answer", "source_url").withColumn("source_url", normal_url(F.col("source_url")))
-    return near_dup.near_duplicates(r, "answer", near_dup.ANSWER_THRESHOLD, "record_id").select("i", "j", F.round("ratio", 6).alias("ratio"))
+    _, pairs = near_dup.near_classes(r, "answer", near_dup.ANSWER_THRESHOLD, "record_id")
+    return pairs.select("a", "b", F.round("forward", 6).alias("forward"), F.round("backward", 6).alias("backward"))
+
+
+@query
+def near_duplicate_answer_links(spark, d):
+    r = records(spark, d, "answer", "source_url").withColumn("source_url", normal_url(F.col("source_url")))
+    members, pairs = near_dup.near_classes(r, "answer", near_dup.ANSWER_THRESHOLD, "record_id")
+    return near_dup.near_links(members, cut(pairs)).select(F.col("s").alias("record_id"), F.col("cls").alias("class_first"), "links")
 
 
 @query
 def near_duplicate_questions(spark, d):
     r = records(spark, d, "question", "source_url").withColumn("source_url", normal_url(F.col("source_url")))
-    return near_dup.near_duplicates(r, "question", near_dup.QUESTION_THRESHOLD, "record_id").select("i", "j", F.round("ratio", 6).alias("ratio"))
+    _, pairs = near_dup.near_classes(r, "question", near_dup.QUESTION_THRESHOLD, "record_id")
+    return pairs.select("a", "b", F.round("forward", 6).alias("forward"), F.round("backward", 6).alias("backward"))
+
+
+@query
+def near_duplicate_question_links(spark, d):
+    r = records(spark, d, "question", "source_url").withColumn("source_url", normal_url(F.col("source_url")))
+    members, pairs = near_dup.near_classes(r, "question", near_dup.QUESTION_THRESHOLD, "record_id")
+    return near_dup.near_links(members, cut(pairs)).select(F.col("s").alias("record_id"), F.col("cls").alias("class_first"), "links")
 
 
 @query
@@ -359,7 +376,8 @@ def near_deduplicated(spark, d):
 @query
 def redundancy_causes(spark, d):
     r = records(spark, d, "answer", "source_url", "source_chunk", "chunk_index").withColumn("source_url", normal_url(F.col("source_url")))
-    return reports.redundancy_by_cause(r, near_dup.near_duplicates(r, "answer", near_dup.ANSWER_THRESHOLD, "record_id"), "record_id")
+    members, pairs = near_dup.near_classes(r, "answer", near_dup.ANSWER_THRESHOLD, "record_id")
+    return reports.redundancy_of_classes(r, members, cut(pairs), "record_id")
 
 
 @query

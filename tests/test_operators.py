@@ -77,31 +77,63 @@ def ratio(a, b):
     return difflib.SequenceMatcher(None, n(b), n(a)).ratio()
 
 
+def near_rows(seed):
+    rnd = random.Random(seed)
+    words = "the old lamp keeps nine quiet rivers under stone bridges while rain falls".split()
+    rows = [(i, "q", " ".join(rnd.choice(words) for _ in range(rnd.randrange(9))) if i % 11 else None, f"c{rnd.randrange(4)}", f"u{i % 2}", rnd.choice([None, 0, 1, 2, 3]), "s") for i in range(40)]
+    # copies of equal keys, interleaved, and texts whose ratio depends on the order
+    rows += [(40 + k, "q", rnd.choice(rows)[2] if k % 3 else rnd.choice(["cbacbacbc", "bbcabbaba", "CBA cbacbc!", "bbcabbaba."]), f"c{k % 3}", f"u{k % 2}", k % 4, "s") for k in range(30)]
+    return rows
+
+
+def near_brute(rows, threshold):
+    out = {}
+    for x in range(len(rows)):
+        for y in range(x + 1, len(rows)):
+            r = ratio(rows[x][2], rows[y][2])
+            if rows[x][4] == rows[y][4] and r >= threshold:
+                out[(rows[x][0], rows[y][0])] = round(r, 9)
+    return out
+
+
 @pytest.mark.parametrize("block", [3, 128])
 def test_near_duplicates_match_brute_force(spark, block):
-    rnd = random.Random(3)
-    words = "the old lamp keeps nine quiet rivers under stone bridges while rain falls".split()
-    rows = [(i, "q", " ".join(rnd.choice(words) for _ in range(rnd.randrange(9))) if i % 11 else None, "c", f"u{i % 2}", i, "s") for i in range(40)]
+    rows = near_rows(3)
     df = table(spark, rows)
-    got = {(r["i"], r["j"]) for r in near_dup.near_duplicates(df, "answer", 0.6, block=block).collect()}
-    # a class of equal keys is measured by its first rows
+    want = near_brute(rows, 0.5)
+    got = near_dup.near_duplicates(df, "answer", 0.5, block=block).collect()
+    assert len(got) == len(want) and {(r["i"], r["j"]): round(r["ratio"], 9) for r in got} == want
+    links = near_dup.near_links(*near_dup.near_classes(df, "answer", 0.5, block=block)).collect()
+    assert {r["s"]: r["links"] for r in links} == {r[0]: sum(r[0] in p for p in want) for r in rows}
     first = {}
     key = lambda t: re.sub("[^a-z0-9 ]", "", (t or "").lower())
     for r in rows:
         first.setdefault((r[4], key(r[2])), r)
-    want = set()
-    for a in rows:
-        for b in rows:
-            fa, fb = first[(a[4], key(a[2]))], first[(b[4], key(b[2]))]
-            if a[0] < b[0] and a[4] == b[4] and fa is not fb:
-                x, y = sorted((fa, fb))
-                if ratio(x[2], y[2]) >= 0.6:
-                    want.add((a[0], b[0]))
-    assert got == want and want
     same = {r["record_seq"]: r["class_first"] for r in near_dup.duplicate_classes(df).collect()}
     assert all(same[r[0]] == first[(r[4], key(r[2]))][0] for r in rows)
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_dedup_and_causes_match_brute_force(spark, seed):
+    rows = near_rows(seed)
+    df = table(spark, rows)
+    pairs = near_brute(rows, 0.5)
+    at = {r[0]: r for r in rows}
+    lost, causes = {}, {}
+    for (i, j), r in sorted(pairs.items()):
+        w, x = (i, j) if len(at[i][2] or "") >= len(at[j][2] or "") else (j, i)
+        if x not in lost or r > lost[x][1]:
+            lost[x] = (w, r)
+        c = "same_chunk" if at[i][3] == at[j][3] else "adjacent_chunk" if None not in (at[i][5], at[j][5]) and abs(at[i][5] - at[j][5]) == 1 else "other"
+        causes[c] = causes.get(c, 0) + 1
+    kept, why = near_dup.semantic_dedup(df, "answer", 0.5)
+    assert {r["record_seq"]: (r["winner"], r["ratio"]) for r in why.collect()} == {x: (w, round(r, 3)) for x, (w, r) in lost.items()}
+    assert {r["record_seq"] for r in kept.collect()} == set(at) - set(lost)
+    members, classes = near_dup.near_classes(df, "answer", 0.5)
+    assert {r["cause"]: r["pairs"] for r in reports.redundancy_of_classes(df, members, classes).collect()} == causes
+    assert reports.redundancy_of_classes(df.limit(0), members.limit(0), classes.limit(0)).count() == 0
+
+
 def test_semantic_dedup(spark):
     rows = [(1, "q", "the lamp keeps nine rivers", "c", "u", 0, "s"), (2, "q", "the lamp keeps nine rivers!", "c", "u", 1, "s"), (3, "q", "the lamp keeps ten rivers", "d", "u", 2, "s"), (4, "q", "else", "c", "u", 5, "s"), (5, "q", "the lamp keeps nine rivers", "c", "v", 0, "s")]
     kept, why = near_dup.semantic_dedup(table(spark, rows), "answer", 0.8)
