@@ -28,7 +28,8 @@ def entity_components(edges: DataFrame, max_rounds: int = 64, heavy: int = 1000)
     neighbour's component at the end, which leaves the connected parts as
     they are.
     """
-    e = edges.where("a is not null and b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # read twice, made once
+    e = cut(edges.where("a is not null and b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     both = cut(e.select("a", "b").union(e.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))))
     degree = both.where("a <> b").groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("peer"))
     pendant = degree.where("n = 1").select(F.col("a").alias("node"), "peer")
