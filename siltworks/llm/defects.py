@@ -3,9 +3,11 @@
 Each pair gets its defect type or null. Copies are detected by compressing the
 response with its prompt as zstandard dictionary: a response that the prompt
 alone explains leaves almost nothing. Language and refusal dictionaries give
-``language`` and ``refusal``; ``truncated`` comes from a terminal-context model
-that holds of every word, hashed into a table of fixed size, how often it ends a
-sentence and how often it stands elsewhere, counted over all answers.
+``language`` and ``refusal``; ``truncated`` comes from a terminal-context model:
+how often a word, and a pair of words, ends a sentence and how often it stands
+elsewhere, counted over all answers. Only the last words of answers that nothing
+else decides are asked for, so the model is a relation that is counted for these words and
+joined to them; it is exact whatever the size of the vocabulary.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import html
 import re
 from collections import Counter
 from functools import lru_cache
+from itertools import islice
 from zlib import crc32
 
 import numpy as np
@@ -21,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut
 from .words import words
 
 # Answers that hold nothing but a placeholder.
@@ -53,6 +57,9 @@ REFUSALS = (
 )
 FILLERS = (
     r"\blet me know\b|\bcould you\b|\bplease (?:share|provide|ask|give|contact)\b|\bcontact\b|\bno answer can be given\b|\banother question\b|\bask (?:me|again)\b|\bhappy to help\b|\bif you (?:share|have|need|like)\b|\btry\b.{0,30}\b(?:elsewhere|manual|vendor|support)\b",
+    # where else to look, and what holds in general
+    r"\b(?:please )?(?:consult|see|refer to|check|read|visit)\b.{0,40}\b(?:manuals?|documentation|docs|guide|vendors?|support|reference|website|release notes)\b",
+    r"^\W*(?:in general|generally|usually|typically|normally|as a rule|im allgemeinen|allgemein|in der regel|normalerweise|en général|généralement|en règle générale|d'habitude|en general|generalmente|por lo general|normalmente)\b",
     r"\b(?:bitte|wenden sie|fragen sie|gern\w*)\b|\b(?:veuillez|n'hésitez|contactez|merci)\b|\b(?:por favor|contacte|consulte|pregunte|avíseme)\b|\bwithout (?:it|more)\b",
 )
 _refusal = re.compile("|".join(f"(?:{x})" for x in REFUSALS), re.I)
@@ -76,39 +83,10 @@ _IDENT = re.compile(r"[`“”\"'‘’«»]*\b[a-z0-9]+(?:_[a-z0-9]+)+\b[`“
 
 _CODE = re.compile(r"```.*?(?:```|$)|`[^`\n]*`", re.S)
 
-WORDS, PAIRS = 1 << 20, 1 << 19
-BUCKETS = WORDS + PAIRS
-"""Rows of the terminal-context model: a part in which each word has two rows, and one for word pairs."""
-
-
-def buckets(word: str) -> tuple[int, int]:
-    """The two rows of a word; it is seldom that both are shared with others by chance."""
-    return crc32(word.encode()) & (WORDS - 1), crc32(word[::-1].encode()) & (WORDS - 1)
-
-
-def pair_bucket(before: str, word: str) -> int:
-    return WORDS + (crc32(f"{before} {word}".encode()) & (PAIRS - 1))
-
-
-class TerminalModel:
-    """How often words and word pairs end a sentence or clause.
-
-    A row counts as known only above the level that chance neighbours give it,
-    the median of its half, so that the model does not fill up with the corpus.
-    """
-
-    def __init__(self, ends: np.ndarray, mids: np.ndarray):
-        self.ends, self.all = ends, ends + mids
-        self.floor = [3 + 3 * float(np.median(self.all[:WORDS])), 3 + 3 * float(np.median(self.all[WORDS:]))]
-
-    def ends_here(self, before: str | None, word: str, share: float = 0.08) -> bool:
-        """Whether a text may end on a word: its pair decides if known, else the word; an unknown word is a cut one."""
-        if before:
-            at = pair_bucket(before, word)
-            if self.all[at] >= self.floor[1]:
-                return bool(self.ends[at] >= share * self.all[at])
-        at = min(buckets(word), key=lambda k: self.all[k])
-        return bool(self.all[at] >= self.floor[0] and self.ends[at] >= share * self.all[at])
+ASKED = 1 << 22
+"""Bits of the filter that tells which words are asked for; a word let through by chance is only counted in vain."""
+KNOWN, SHARE = 3, 0.08
+"""A word or pair is known from so many occurrences on, and ends texts if this share of them ends a sentence."""
 
 
 def visible(text: str | None) -> str:
@@ -123,9 +101,7 @@ def visible(text: str | None) -> str:
 
 
 def _hollow(v: str) -> bool:
-    if len(v) > 60:
-        return False
-    core = re.sub(r"[\W_]+", " ", v).strip().lower()
+    core = " ".join(m[0] for m in islice(_TOKEN.finditer(v), 5)).lower()
     return not core or core in PLACEHOLDERS or v.lower().strip(" .()[]{}<>*_`\"'-–—:") in PLACEHOLDERS
 
 
@@ -152,16 +128,16 @@ def is_refusal(text: str) -> bool:
 
     What stands in quotation marks is reported, not said, and counts as a word.
     """
-    if len(text) > 400 or not _refusal.search(text):
+    if not _refusal.search(text):
         return False
     t = re.sub(r"[\"“„«][^\"“”„«»]{12,}[\"”“»]", "quoted", text)
     t = _IDENT.sub("it", t)
     parts = [p for p in _SENT.split(re.sub(r";", ". ", t)) if p and re.search(r"\w", p)]
-    if not parts or len(parts) > 5 or len(text) > 400:
+    if not parts:
         return False
     declines = 0
     for p in parts:
-        if _refusal.search(p) and len(p) < 170:
+        if _refusal.search(p):
             declines += 1
         elif not _filler.search(p):
             return False
@@ -184,10 +160,8 @@ def residue(prompt: str, response: str) -> float:
 
 
 def is_copy(question: str, answer: str) -> bool:
-    if len(answer) > 3 * len(question) + 120:
-        return False
     q, a = words(question), words(answer)
-    if not q or not a or len(a) > 2 * len(q) + 12 or len(a) < 0.5 * len(q):
+    if not q or not a or len(a) < 0.5 * len(q):
         return False
     if len(set(a) - set(q)) > 6:
         return False
@@ -206,8 +180,8 @@ def is_copy(question: str, answer: str) -> bool:
     return len(extra) <= 6 and len(left) <= 0.34 * len(q)
 
 
-def ends_open(text: str, model: TerminalModel) -> bool:
-    """Whether a text breaks off, by its last context."""
+def ends_open(text: str) -> bool | tuple[str | None, str]:
+    """Whether a text breaks off, by its last context; (word before, last word) if the corpus must tell."""
     t = text.rstrip()
     if "`" not in t and "~" not in t and t[-1:] in ".!?" and not t.endswith("...") and not re.search(r"(?:^|\n)\s*(?:[-*+•]|\d+[.)])$", t[-12:]):
         return False
@@ -236,14 +210,13 @@ def ends_open(text: str, model: TerminalModel) -> bool:
     w = m.group(1).lower()
     if last_line.endswith("`") or "_" in w or w.isdigit():
         # a setting or a number closes a sentence only where a verb could
-        before = words(last_line)
-        return False if len(before) > 1 else False
+        return False
     prev = re.search(r"([^\W_]+)\W+[^\W_]+\W*$", last_line)
     if re.search(r"…\s*\w+$", last_line):
         return True
     if w in OPEN_WORDS and w not in _MAY_END:
         return True
-    return not model.ends_here(prev.group(1).lower() if prev else None, w)
+    return prev.group(1).lower() if prev else None, w
 
 
 _TOKEN = re.compile(r"[^\W_]+")
@@ -251,91 +224,105 @@ _ENDING = re.compile(r"(?<![^\W_])([^\W_]+)[\W_]+([^\W_]+)[`\"'”’)\]*_]*[.!?
 
 
 class _Counts:
-    """Words and word pairs seen, and those that end a sentence or clause; flushed into hashed tables."""
+    """Words and word pairs seen, and those that end a sentence or clause, of the words asked for."""
 
-    def __init__(self):
-        self.ends, self.seen = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    def __init__(self, asked: np.ndarray, most: int = 200_000):
+        self.asked, self.most = asked, most
         self.pairs: Counter = Counter()
         self.last: Counter = Counter()
 
-    def add(self, text: str) -> None:
+    def add(self, text: str) -> bool:
+        """Count a text; true if the counts should be taken."""
         low = text.lower()
         ws = _TOKEN.findall(low)
         self.pairs.update(zip(ws, ws[1:]))
         self.last.update(_ENDING.findall(low))
-        if len(self.pairs) > 200_000:
-            self.flush()
+        return len(self.pairs) > self.most
 
-    def flush(self) -> None:
-        for counts, table in ((self.pairs, self.seen), (self.last, self.ends)):
-            single: Counter = Counter()
+    def take(self) -> pd.DataFrame:
+        sums: dict[tuple, list[int]] = {}
+        for k, counts in enumerate((self.last, self.pairs)):
             for (x, w), n in counts.items():
-                table[pair_bucket(x, w)] += n
-                single[w] += n
-            for w, n in single.items():
-                for k in set(buckets(w)):
-                    table[k] += n
+                if self.asked[crc32(w.encode()) % ASKED]:
+                    for key in ((x, w), (None, w)):
+                        sums.setdefault(key, [0, 0])[k] += n
             counts.clear()
+        return pd.DataFrame([(*k, e, max(e, n)) for k, (e, n) in sums.items()], columns=["before", "word", "ends", "seen"])
 
 
-def terminal_model(answers: DataFrame, answer: str = "answer") -> TerminalModel:
-    """Counts by bucket: how often its words and word pairs end a sentence, and how often not.
+def terminal_counts(answers: DataFrame, asked: DataFrame, answer: str = "answer") -> DataFrame:
+    """(before, word, ends, seen) of the words of ``asked``: how often a pair, or a word (``before`` null), ends a sentence, and all its occurrences.
 
-    Counted over all answers, per partition first; the table has ``BUCKETS``
-    rows whatever the corpus, so that it may go to the driver and be broadcast.
+    Counted over all answers that end in a full stop. At most ``ASKED`` numbers of
+    hashed words go to the driver and are broadcast as a filter.
     """
+    got = asked.select(F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(ASKED)).cast("int").alias("k")).distinct().toPandas()
+    bits = np.zeros(ASKED, np.bool_)
+    bits[got["k"]] = True
+    shared = answers.sparkSession.sparkContext.broadcast(bits)
 
     def count(batches):
-        c = _Counts()
+        c = _Counts(shared.value)
         for b in batches:
             for text in b["t"]:
-                c.add(text)
-        c.flush()
-        at = np.flatnonzero(c.ends + c.seen)
-        yield pd.DataFrame({"k": at, "e": c.ends[at], "m": np.maximum(0, c.seen[at] - c.ends[at])})
+                if c.add(text):
+                    yield c.take()
+        yield c.take()
 
     closed = answers.select(F.rtrim(F.col(answer)).alias("t")).where(F.col("t").rlike(r"[.!?]$"))
-    parts = closed.mapInPandas(count, "k int, e long, m long").groupBy("k").agg(F.sum("e").alias("e"), F.sum("m").alias("m"))
-    got = parts.toPandas()
-    ends, mids = np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32)
-    ends[got["k"]], mids[got["k"]] = got["e"], got["m"]
-    return TerminalModel(ends, mids)
+    return closed.mapInPandas(count, "before string, word string, ends long, seen long").groupBy("before", "word").agg(F.sum("ends").alias("ends"), F.sum("seen").alias("seen"))
+
 
+def defect(question: str | None, answer: str | None) -> tuple[str | None, tuple[str | None, str] | None]:
+    """(``empty``, ``copy``, ``refusal``, ``truncated``, ``language``, the first that holds, or null; None).
 
-def defect(question: str | None, answer: str | None, model: TerminalModel) -> str | None:
-    """``empty``, ``copy``, ``refusal``, ``truncated``, ``language`` (the first that holds) or null."""
+    If the corpus must tell whether the answer breaks off, the second is what :func:`ends_open` asks
+    and the first is the defect in case it does not.
+    """
     v, q = visible(answer), question or ""
     if _hollow(v) or not _TOKEN.search(v):
-        return "empty"
+        return "empty", None
     if is_copy(q, v):
-        return "copy"
+        return "copy", None
     if is_refusal(v):
-        return "refusal"
-    if ends_open(v, model):
-        return "truncated"
+        return "refusal", None
+    open_ = ends_open(v)
+    if open_ is True:
+        return "truncated", None
     if "`" in v:
         v = _CODE.sub(" ", v)
     ql, qlead, qhits = language(_TOKEN.findall(_IDENT.sub(" ", q.lower())))
     al, alead, ahits = language(_TOKEN.findall(v.lower()))
-    if ql and al and ql != al and qlead >= 1 and alead >= 2 and ahits >= 3:
-        return "language"
-    return None
+    other = "language" if ql and al and ql != al and qlead >= 1 and alead >= 2 and ahits >= 3 else None
+    return other, open_ or None
 
 
-def flag_defects(df: DataFrame, record_id: str = "record_id", question: str = "question", answer: str = "answer", model: TerminalModel | None = None) -> DataFrame:
+def flag_defects(df: DataFrame, record_id: str = "record_id", question: str = "question", answer: str = "answer") -> DataFrame:
     """(record_id, defect) of each defective pair.
 
     A null question is compared as empty; a null answer is ``empty``. Repeated
     rows of a record give one row (the smallest defect if they differ). An empty
     table gives no rows; further columns are ignored.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model or terminal_model(df, answer))
 
     def run(batches):
-        m = shared.value
         for b in batches:
-            out = [(i, d) for i, q, a in zip(b["record_id"], b["q"], b["a"]) if (d := defect(q, a, m))]
-            yield pd.DataFrame(out, columns=["record_id", "defect"])
+            out = []
+            for i, q, a in zip(b["record_id"], b["q"], b["a"]):
+                d, ask = defect(q, a)
+                if d or ask:
+                    out.append((i, d, *(ask or (None, None))))
+            yield pd.DataFrame(out, columns=["record_id", "defect", "before", "word"])
 
     rows = df.select(F.col(record_id).cast("long").alias("record_id"), F.col(question).alias("q"), F.col(answer).alias("a"))
-    return rows.mapInPandas(run, "record_id long, defect string").groupBy("record_id").agg(F.min("defect").alias("defect"))
+    told = cut(rows.mapInPandas(run, "record_id long, defect string, before string, word string"))
+    asked = told.where("word is not null")
+    counts = cut(terminal_counts(df, asked, answer))
+    pair = counts.where("before is not null").select("before", "word", F.col("ends").alias("pe"), F.col("seen").alias("pn"))
+    word = counts.where("before is null").select("word", F.col("ends").alias("we"), F.col("seen").alias("wn"))
+    # the pair decides if known, else the word; an unknown word is a cut one
+    by_pair, by_word = F.col("pe") >= SHARE * F.col("pn"), (F.col("wn") >= KNOWN) & (F.col("we") >= SHARE * F.col("wn"))
+    ends = F.when(F.col("pn") >= KNOWN, by_pair).otherwise(F.coalesce(by_word, F.lit(False)))
+    decided = asked.join(pair, ["before", "word"], "left").join(word, "word", "left").select("record_id", F.when(ends, F.col("defect")).otherwise("truncated").alias("defect"))
+    found = told.where("word is null").select("record_id", "defect").union(decided.where("defect is not null"))
+    return found.groupBy("record_id").agg(F.min("defect").alias("defect"))

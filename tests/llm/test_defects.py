@@ -36,3 +36,22 @@ def test_empty(text):
 def test_parts():
     assert not is_empty("16") and not is_refusal("The server does not answer until the lease ends. It then writes the file.")
     assert is_copy("What does `a_b` do in the vault of Zed?", "WHAT DOES `A_B` DO IN THE VAULT OF ZED") and not is_copy("What does `a_b` do?", "It sorts files.")
+
+
+def test_nothing_is_too_long(spark):
+    no = "Sorry, the given passage does not mention the setting that you asked for."
+    assert is_refusal(" ".join([no] * 9)) and is_refusal(no + " " + "Unfortunately I cannot answer that " + "and that " * 60 + "either.")
+    assert is_refusal(no + " Please consult the official manual. In general, vendors describe such things elsewhere.")
+    assert not is_refusal(" ".join([no] * 9) + " The server keeps it in the vault.")
+    assert is_empty("-" * 500) and is_empty("[ " + " " * 300 + "n/a ]") and not is_empty("n/a " * 40)
+    q = "What does `a_b` do in the old vault of Zed when the client leaves?"
+    assert is_copy(q, " ".join([q] * 7)) and not is_copy(q, " ".join([q] * 7) + " It sorts the files, closes all leases, renames each copy and waits for nine seconds.")
+
+
+def test_rare_words_stay_known(spark):
+    # many words, each seldom: a last word met three times is known whatever else the corpus holds
+    base = [(k, "What does `a_b` do?", f"It keeps word{k}x in store{k}y. Then thing{k}z closes.") for k in range(3000)]
+    tail = [(9000 + k, "What does `a_b` do?", "The server keeps the seldom zephyr. Then it closes the zephyr.") for k in range(3)]
+    asked = [(9100, "What does `a_b` do?", "It closes the zephyr"), (9101, "What does `a_b` do?", "It closes the zep"), (9102, "What does `a_b` do?", "zephyr")]
+    df = spark.createDataFrame(base + tail + asked, "record_id long, question string, answer string")
+    assert {r["record_id"]: r["defect"] for r in flag_defects(df).collect()} == {9101: "truncated"}
