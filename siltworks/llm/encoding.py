@@ -8,24 +8,31 @@ no pair merges; an ordered aggregation gives each word's ids. Of one pair all
 occurrences in a word that do not overlap are contracted in one step, from the
 left, which gives the same result since a merge only makes pairs of larger
 rank. Words once encoded are kept, up to a bound, so that frequent ones are
-contracted once per worker.
+contracted once per worker. One step of the recursion costs what a word is long
+and a word takes about as many steps, so words of more than ``SOLID`` bytes (texts
+without spaces) are contracted by a heap of their pairs instead, in the same order.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 import os
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TOKENIZERS = "/opt/tokenizers"
 """Folder of the public vocabularies, if SILTWORKS_TOKENIZERS names no other."""
 
+SOLID = 1024
+"""Bytes from which on a word is contracted by a heap."""
+
 #: Fixed value: the published pattern that cuts texts into words before merging.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -75,6 +82,7 @@ class Encoder:
         self.cut = regex.compile(WORD_PATTERN).findall
         self.known: dict[str, list[int]] = {}
         self.keep = keep
+        self.pairs = {(a, b): r for a, b, r, _ in rows}
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         frame = pd.DataFrame(rows, columns=["a", "b", "rank", "merged"], dtype=np.int32)  # noqa: F841
         self.con.execute("CREATE TABLE merges AS SELECT * FROM frame")
@@ -85,6 +93,9 @@ class Encoder:
         part: list[str] = []
         size = 0
         for w in words:
+            if 4 * len(w) > SOLID and len(raw := w.encode()) > SOLID:
+                out[w] = self._by_heap(raw)
+                continue
             part.append(w)
             size += 4 * len(w)
             if size > rows:
@@ -103,17 +114,37 @@ class Encoder:
         self.con.unregister("start")
         return dict(zip([words[k] for k in got["word"].to_pylist()], got["ids"].to_pylist()))
 
+    def _by_heap(self, raw: bytes) -> list[int]:
+        """Ids of one word: the leftmost pair of least rank is merged first, neighbours are a linked list."""
+        tok = self.byte[np.frombuffer(raw, np.uint8)].tolist()
+        n = len(tok)
+        right, left = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, tok[i], tok[i + 1]) for i in range(n - 1) if (r := self.pairs.get((tok[i], tok[i + 1]))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i, a, b = heapq.heappop(heap)
+            j = right[i]
+            if tok[i] != a or j >= n or tok[j] != b:
+                continue
+            tok[i], tok[j], right[i] = r, -1, right[j]
+            if right[i] < n:
+                left[right[i]] = i
+            for x, y in ((left[i], i), (i, right[i])):
+                if x >= 0 and y < n and (k := self.pairs.get((tok[x], tok[y]))) is not None:
+                    heapq.heappush(heap, (k, x, tok[x], tok[y]))
+        return [t for t in tok if t >= 0]
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, offsets) of texts; null and empty ones have none."""
         cut = [self.cut(t) if t else [] for t in texts]
         fresh = set(chain.from_iterable(cut)).difference(self.known)
-        table = self.known
         if fresh:
             got = self.learn(sorted(fresh))
-            if len(self.known) + len(got) <= self.keep:
-                self.known |= got
-            else:
-                table = self.known | got
+            if len(self.known) + len(got) > self.keep:
+                # the words of this slice are kept, all others make room
+                self.known = {w: self.known[w] for w in set(chain.from_iterable(cut)).difference(fresh)}
+            self.known |= got
+        table = self.known
         lists = [list(chain.from_iterable(map(table.__getitem__, ws))) for ws in cut]
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
         return np.fromiter(chain.from_iterable(lists), np.int32, int(offsets[-1])), offsets
@@ -134,9 +165,12 @@ def encode_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", v
     nothing is shuffled.
     """
     path = tokenizer_path(vocabulary, folder)
+    if os.path.exists(path):
+        # executors without the folder read the copy that is sent along
+        docs.sparkSession.sparkContext.addFile(path)
 
     def run(batches):
-        e = encoder(path)
+        e = encoder(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)))
         for b in batches:
             keys, texts = b.column(0), b.column(1).to_pylist()
             at = 0

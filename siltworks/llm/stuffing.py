@@ -6,8 +6,8 @@ sentences of all documents, gives every segment its perplexity. A segment whose
 mean surprise lies too far from that of prose, above or below, is no prose. A page is reported when more than half of
 its characters stand in such segments.
 
-The model is a table of class 4-grams: at most ``CLASSES ** 4`` rows whatever the
-corpus, in practice some ten thousands, so it goes to the driver and is
+The model is a table of class 4-grams by language: at most ``CLASSES ** 4`` rows a language whatever the
+corpus, in practice some ten thousands, so it goes to the driver behind a check of its size and is
 broadcast. Code blocks and tables are structure, not segments.
 """
 
@@ -27,6 +27,8 @@ from .defects import _WORD_LANGS, FUNCTION_WORDS
 from .leakage import LOOKALIKES
 
 CLASSES = 48
+MOST_GRAMS = 4_000_000
+"""Rows of the model that may go to the driver."""
 _FUNCTION = 24  # function words share this many classes
 _NAMES = ["edge", "low", "cap", "upper", "num", "ident", "url", "link", "tag", "sku", "host", "other", ",", ".", ":", ";", "bullet", "bar", "dash", "quote", "mark", "mixed", "again", "run"]
 _ID = {n: _FUNCTION + i for i, n in enumerate(_NAMES)}
@@ -294,17 +296,24 @@ def class_counts(classes: DataFrame) -> pd.DataFrame:
             counts = np.bincount(at, np.concatenate([counts, n]), len(keys)).astype(np.int64)
         yield pd.DataFrame({"lang": keys // size, "code": keys % size, "n": counts})
 
-    return classes.select("ids", "lens", "langs").mapInPandas(count, "lang int, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas()
+    counts = cut(classes.select("ids", "lens", "langs").mapInPandas(count, "lang int, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")))
+    if counts.count() > MOST_GRAMS:
+        raise ValueError(f"more than {MOST_GRAMS} class 4-grams: too many to send to all tasks")
+    return counts.toPandas()
 
 
-def balanced(counts: pd.DataFrame) -> ClassModel:
-    """One model in which every language that has at least a hundredth of the prose weighs the same."""
+def balanced(counts: pd.DataFrame, enough: int = 2000) -> ClassModel:
+    """One model in which languages weigh alike, however much of the prose each has.
+
+    What a language weighs grows with its 4-grams and is half its full weight at ``enough`` of them, so
+    that a few sentences taken for another language do not shape the model; none is left out.
+    """
     if counts.empty:
         return ClassModel(np.zeros(0, np.int64), np.zeros(0))
     total = counts.groupby("lang")["n"].transform("sum")
-    kept = counts[total >= 0.01 * counts["n"].sum()]
-    share = kept["n"] / total[kept.index]
-    merged = share.groupby(kept["code"]).sum() * counts["n"].sum() / kept["lang"].nunique()
+    weight = counts["n"] / total * (total / (total + enough))
+    merged = weight.groupby(counts["code"]).sum()
+    merged *= counts["n"].sum() / merged.sum()
     return ClassModel(merged.index.to_numpy(np.int64), merged.to_numpy(np.float64))
 
 
@@ -314,7 +323,7 @@ def stuffed_pages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     A segment's perplexity counts as abnormal if its mean surprise lies ``bound``
     bits or more off that of prose, after ``prior`` tokens of usual surprise are
     added, so that short segments do not count by chance. Null, empty and blank texts,
-    and texts of fewer than ``least`` characters, are no pages. Characters are counted without
+    and texts of fewer than ``least`` characters, are no pages: a sentence or two holds too few 4-grams to tell. Characters are counted without
     the white space around lines. Segments mostly in scripts that the model has
     no function words of are not judged, nor is anything where no document holds a prose sentence. A document delivered twice gives one row.
     """

@@ -22,3 +22,24 @@ def test_same_ids_as_the_public_encoder(spark):
         assert got[i] == ids
         assert want.decode(got[i]) == (t or "")
     assert encode_corpus(df.limit(0)).count() == 0
+
+
+def test_long_words_and_full_tables():
+    import random
+
+    from siltworks.llm.encoding import SOLID, Encoder
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
+    want = tiktoken.Encoding("own", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rnd = random.Random(1)
+    english = "".join(rnd.choice(["the", "tion", "er", "ing", "st", "qu", "zz", "ab", "a", "e"]) for _ in range(9000))
+    texts = ["a" * 5000, english, "漢字かな交じり文" * 300, "=" * 2000, " " * 3000 + "x", "".join(rnd.choice("abcdefgh") for _ in range(SOLID + 5))]
+    e = Encoder(PATH, keep=3)
+    for t in texts:
+        for words in ([t], [t, "some other words"], ["one two three four five six", t]):
+            ids, at = e.encode(words)
+            assert [ids[x:y].tolist() for x, y in zip(at, at[1:])] == [want.encode_ordinary(w) for w in words]
+    # the heap and the recursion agree below the bound
+    for _ in range(60):
+        w = "".join(rnd.choice(["in", "g", "th", "e", "a", "ab", "é", "s"]) for _ in range(rnd.randrange(1, 120)))
+        assert e._by_heap(w.encode()) == e._contract([w])[w]

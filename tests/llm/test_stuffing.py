@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siltworks.llm.stuffing import CLASSES, _codes, _ID, stuffed_pages
+from siltworks.llm import stuffing
+from siltworks.llm.stuffing import CLASSES, _codes, _ID, balanced, stuffed_pages
 
 
 LETTERS = "bdfgklmnprst"
@@ -39,3 +40,18 @@ def test_pages(spark):
     assert stuffed_pages(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         stuffed_pages(df, share=1.5)
+
+
+def test_no_language_is_left_out(spark, monkeypatch):
+    import pandas as pd
+
+    counts = pd.DataFrame([(0, 7, 1_000_000), (1, 9, 5000)], columns=["lang", "code", "n"])
+    m = balanced(counts)
+    share = dict(zip(m.codes.tolist(), (m.counts / m.counts.sum()).tolist()))
+    assert share[9] > 0.35 and abs(sum(share.values()) - 1) < 1e-9
+    few = balanced(pd.concat([counts, pd.DataFrame([(2, 11, 3)], columns=counts.columns)]))
+    assert 0 < few.counts[list(few.codes).index(11)] < 0.01 * few.counts.sum()
+    monkeypatch.setattr(stuffing, "MOST_GRAMS", 3)
+    df = spark.createDataFrame([(1, prose(random.Random(1), 5))], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        stuffed_pages(df)
