@@ -138,3 +138,20 @@ def test_pages(spark):
     assert got[0]["markdown"].replace("\n\n", "\n").split("\n")[:2] == ["# Head", "One two"]
     assert "* a" in got[0]["markdown"] and "c  d" in got[0]["markdown"] and not set("xfzh") & set(re.sub("[a-z]{2,}", "", got[0]["markdown"]))
     assert got[0]["hrefs"] == ["/n", "/b"] and got[1]["markdown"] is None and got[2]["markdown"] == "" and got[3]["markdown"] == "plain"
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from siltworks import checkpoints
+
+    def session(master, named=None):
+        kept = []
+        unset = SimpleNamespace(isDefined=lambda: bool(kept), get=lambda: kept[-1])
+        sc = SimpleNamespace(master=master, setCheckpointDir=kept.append, _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: unset)))
+        return SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d: named))
+
+    assert checkpoints.shared_dir(session("spark://h:7077", "hdfs://x")) == "hdfs://x"
+    assert checkpoints.shared_dir(session("local[4]"))
+    with pytest.raises(RuntimeError):
+        checkpoints.shared_dir(session("spark://h:7077"))
