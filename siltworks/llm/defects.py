@@ -81,6 +81,7 @@ _SENT = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|\n+")
 _END_MARK = re.compile(r"[.!?。！？…][\"'”’»)\]*_`>]*$")
 _IDENT = re.compile(r"[`“”\"'‘’«»]*\b[a-z0-9]+(?:_[a-z0-9]+)+\b[`“”\"'‘’«»]*", re.I)
 
+_QUOTED = re.compile(r"[\"“„«][^\"“”„«»]{12,}[\"”“»]")
 _CODE = re.compile(r"```.*?(?:```|$)|`[^`\n]*`", re.S)
 
 ASKED = 1 << 22
@@ -128,15 +129,13 @@ def is_refusal(text: str) -> bool:
 
     What stands in quotation marks is reported, not said, and counts as a word.
     """
-    if not _refusal.search(text):
-        return False
-    t = re.sub(r"[\"“„«][^\"“”„«»]{12,}[\"”“»]", "quoted", text)
-    t = _IDENT.sub("it", t)
-    parts = [p for p in _SENT.split(re.sub(r";", ". ", t)) if p and re.search(r"\w", p)]
-    if not parts:
-        return False
+    t = _QUOTED.sub("quoted", text)
+    if "_" in t:
+        t = _IDENT.sub("it", t)
     declines = 0
-    for p in parts:
+    for p in _SENT.split(t.replace(";", ". ")):
+        if not p or not _TOKEN.search(p):
+            continue
         if _refusal.search(p):
             declines += 1
         elif not _filler.search(p):
@@ -159,11 +158,12 @@ def residue(prompt: str, response: str) -> float:
     return max(0, len(z.ZstdCompressor(dict_data=d, compression_params=level).compress(response.encode())) - 9) / max(1, len(response.encode()))
 
 
-def is_copy(question: str, answer: str) -> bool:
-    q, a = words(question), words(answer)
+def is_copy(question: str, answer: str, said: list[str] | None = None) -> bool:
+    """Whether an answer only repeats its question; ``said`` are the answer's words if it is known to hold no markup."""
+    q, a = words(question), words(answer) if said is None else said
     if not q or not a or len(a) < 0.5 * len(q):
         return False
-    if len(set(a) - set(q)) > 6:
+    if len(set(a).difference(q)) > 6:
         return False
     said = " ".join(a)
     # a few bytes for lead words weigh little against a long question, much against a short one
@@ -280,9 +280,11 @@ def defect(question: str | None, answer: str | None) -> tuple[str | None, tuple[
     and the first is the defect in case it does not.
     """
     v, q = visible(answer), question or ""
-    if _hollow(v) or not _TOKEN.search(v):
+    low = v.lower()
+    said = _TOKEN.findall(low)
+    if not said or (len(said) < 5 and _hollow(v)):
         return "empty", None
-    if is_copy(q, v):
+    if is_copy(q, v, None if "](" in v or "<" in v or "&" in v else said):
         return "copy", None
     if is_refusal(v):
         return "refusal", None
@@ -290,9 +292,9 @@ def defect(question: str | None, answer: str | None) -> tuple[str | None, tuple[
     if open_ is True:
         return "truncated", None
     if "`" in v:
-        v = _CODE.sub(" ", v)
+        said = _TOKEN.findall(_CODE.sub(" ", low))
     ql, qlead, qhits = language(_TOKEN.findall(_IDENT.sub(" ", q.lower())))
-    al, alead, ahits = language(_TOKEN.findall(v.lower()))
+    al, alead, ahits = language(said)
     other = "language" if ql and al and ql != al and qlead >= 1 and alead >= 2 and ahits >= 3 else None
     return other, open_ or None
 
