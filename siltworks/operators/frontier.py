@@ -97,9 +97,11 @@ def resolve(front: DataFrame, outcomes: DataFrame, at: Column, follow: float = 0
         F.when(F.col("_o") == "retry", F.col("_nb")).otherwise(F.col("not_before")).alias("not_before"),
         "created_at",
         F.when(hit, at).otherwise(F.col("updated_at")).alias("updated_at"),
-        hit.alias("_hit"),
+        hit.alias("_hit"), F.col("_s").alias("_scored"),
     )
-    release = moved.where("_hit and (status = 'failed' or relevance_score is not null)").select(F.col("url").alias("parent_url"), F.when((F.col("status") != "failed") & (F.col("relevance_score") >= follow), "queued").otherwise("skipped_follow").alias("_child"))
+    # a score decides over the children when it is given, whatever becomes of the page after
+    verdict = F.when(F.coalesce(F.col("_scored"), F.when(F.col("status") != "failed", F.col("relevance_score"))) >= follow, "queued").otherwise("skipped_follow")
+    release = moved.where("_hit and (status = 'failed' or relevance_score is not null)").select(F.col("url").alias("parent_url"), verdict.alias("_child"))
     out = moved.join(release, "parent_url", "left")
     waits = (F.col("status") == "pending_score") & F.col("_child").isNotNull()
     return out.withColumn("status", F.when(waits, F.col("_child")).otherwise(F.col("status"))).withColumn("updated_at", F.when(waits, at).otherwise(F.col("updated_at"))).select(*front.columns)

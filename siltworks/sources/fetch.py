@@ -72,16 +72,35 @@ def call_model(df: DataFrame, prompt: str, make: Callable[[], Callable[[str], st
     return df.mapInPandas(run, f"{kind}, {out} string, error string")
 
 
+def embedded(df: DataFrame, text: str, embed: Callable[[list[str]], list[list[float]]], longest: int = 4000, out: str = "_v") -> DataFrame:
+    """df with the vector of the first ``longest`` characters of a text column, embedded batch by batch."""
+
+    def run(batches):
+        for b in batches:
+            yield b.assign(**{out: list(embed([(t or "")[:longest] for t in b[text]]))})
+
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    return df.mapInPandas(run, f"{kind}, {out} array<float>")
+
+
 def cosine_scores(pages: DataFrame, text: str, embed: Callable[[list[str]], list[list[float]]], intent: list[float] | None, longest: int = 4000) -> DataFrame:
     """pages with ``score``: cosine of the first ``longest`` characters of a text with an intent; 1.0 where there is no intent."""
     from ..functions.vectors import cosine
 
     if intent is None:
         return pages.withColumn("score", F.lit(1.0))
+    return embedded(pages, text, embed, longest).withColumn("score", cosine(F.col("_v"), F.array(*[F.lit(float(x)) for x in intent]))).drop("_v")
+
+
+def heading_scores(pages: DataFrame, text: str, embed: Callable[[list[str]], list[list[float]]], intent: list[float] | None, longest: int = 4000) -> DataFrame:
+    """pages with ``score``: cosine of a page's headings, or of the page where it has none, with an intent; 1.0 where there is no intent."""
+    lines = F.filter(F.transform(F.split(F.col(text), "\n"), lambda x: F.trim(x)), lambda x: x.startswith("#"))
+    heads = F.array_join(lines, "\n")
+    asked = pages.withColumn("_asked", F.when(heads == "", F.col(text)).otherwise(heads))
+    return cosine_scores(asked, "_asked", embed, intent, longest).drop("_asked")
 
-    def run(batches):
-        for b in batches:
-            yield b.assign(_v=list(embed([(t or "")[:longest] for t in b[text]])))
 
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields)
-    return pages.mapInPandas(run, f"{kind}, _v array<float>").withColumn("score", cosine(F.col("_v"), F.array(*[F.lit(float(x)) for x in intent]))).drop("_v")
+def score_by(embed: Callable[[list[str]], list[list[float]]] | None, intent: str | None, text: str = "markdown") -> Callable[[DataFrame], DataFrame]:
+    """The gate of a crawl: pages scored by their headings; every page scores 1.0 without an intent or an embedding."""
+    vector = None if embed is None or not intent else [float(x) for x in embed([intent])[0]]
+    return lambda pages: heading_scores(pages, text, embed, vector)

@@ -147,3 +147,84 @@ def test_stream_of_spaced_requests(spark, tmp_path):
     q.awaitTermination(90)
     assert {r["url"]: r["start"] for r in spark.table("starts").collect()} == {"a": 0.0, "b": 1.0, "c": 0.2}
     assert pipeline.rates(spark.createDataFrame([("done",), ("queued",)], "status string"), 30).first()["pages_per_minute"] == 2.0
+
+
+def counted(folder, fails):
+    """A fetch function that raises 429 for the first ``fails`` calls of a url, counted in files, since tasks share nothing else."""
+
+    def page_of(url):
+        import os
+        import uuid
+
+        name = url.rsplit("/", 1)[1]
+        open(os.path.join(folder, f"{name}-{uuid.uuid4().hex}"), "w").close()
+        if sum(f.startswith(name + "-") for f in os.listdir(folder)) <= fails:
+            error = RuntimeError("slow down")
+            error.status = 429
+            raise error
+        return f"<main><h1>{name}</h1><p>text</p></main>"
+
+    return page_of
+
+
+def second(k):
+    return F.lit(f"2025-01-01T00:{k // 60:02d}:{k % 60:02d}.000000+00:00")
+
+
+def test_crawl_waits_for_delayed_retries(spark, tmp_path):
+    seeds, scopes = spark.createDataFrame([("https://h/s/a",)], "url string"), spark.createDataFrame([("h", "/s/")], "host string, prefix string")
+    waits = []
+    front = crawl.crawl(spark, seeds, counted(str(tmp_path), 1), scopes, second, wait=waits.append).first()
+    assert (front["status"], front["retry_count"]) == ("done", 1) and waits and waits[0] == 4.0 and max(waits) <= 5.0
+    (tmp_path / "x").mkdir()
+    front = crawl.crawl(spark, seeds, counted(str(tmp_path / "x"), 9), scopes, second, wait=waits.append).first()
+    assert (front["status"], front["retry_count"]) == ("failed", 3)
+
+
+def test_crawl_resumes_from_its_store(spark, tmp_path):
+    from siltworks.sources.snapshots import open_snapshot, save_snapshot, versions
+
+    store = str(tmp_path / "front")
+    seeds, scopes = spark.createDataFrame([("https://h/s/a",)], "url string"), spark.createDataFrame([("h", "/s/")], "host string, prefix string")
+    first = crawl.crawl(spark, seeds, site(), scopes, second, waves=1, store=store)
+    assert {r["status"] for r in first.collect()} == {"done", "queued"}
+    # a crash in the second wave: its claim was written, its outcome was not
+    claimed = frontier.claim(first, frontier.claimable(first, second(5)), second(5))
+    save_snapshot(claimed, store)
+    (tmp_path / "front" / "v99999999").mkdir()
+    assert versions(spark, store)[-1] < 99999999
+    seen = []
+    last = crawl.crawl(spark, seeds, site(), scopes, lambda k: second(k + 10), store=store, on_pages=lambda p, k: seen.extend(r["url"][-1] for r in p.collect()))
+    got = {r["url"][-1]: (r["status"], r["retry_count"]) for r in last.collect()}
+    assert {k: v[0] for k, v in got.items()} == {**dict.fromkeys("abcdefh", "done"), "g": "failed"}
+    assert "a" not in seen and got["b"][1] == 1 and got["a"][1] == 0
+    assert sorted(map(str, open_snapshot(spark, store, frontier.COLUMNS).collect())) == sorted(map(str, last.collect()))
+    assert open_snapshot(spark, str(tmp_path / "none"), "a int").count() == 0
+
+
+def test_crawl_extracts_and_writes_before_done(spark, tmp_path):
+    seeds, scopes = spark.createDataFrame([("https://h/s/b",)], "url string"), spark.createDataFrame([("h", "/s/")], "host string, prefix string")
+    make = lambda: lambda t: "no list" if "# d" in t else json.dumps([{"instruction": "q", "response": t}])
+    extract = lambda p: crawl.extract_records(p, make, "m", F.lit("2025-01-01T00:00:00+00:00"))
+    sink = str(tmp_path / "sink")
+    front = crawl.crawl(spark, seeds, site(), scopes, second, extract=extract, write=lambda r: records.append_new_pages(spark, r, sink))
+    got = {r["url"][-1]: (r["status"], r["retry_count"]) for r in front.collect()}
+    # d never parses: tried three times, then failed; its child was released by its score at once
+    assert got == {"b": ("done", 0), "d": ("failed", 3), "e": ("done", 0), "h": ("done", 0)}
+    assert sorted(r["source_url"][-1] for r in spark.read.json(sink).collect()) == ["b", "e", "h"]
+
+
+def test_heading_scores_and_top_units(spark):
+    embed = lambda texts: [[float(t.count("lamp")), float(t.count("vault"))] for t in texts]
+    rows = [("u", "# lamp\n\nvault vault vault"), ("v", "vault only"), ("w", None)]
+    df = spark.createDataFrame(rows, "url string, markdown string")
+    got = {r["url"]: round(r["score"], 3) for r in fetch.heading_scores(df, "markdown", embed, [1.0, 0.0]).collect()}
+    assert got == {"u": 1.0, "v": 0.0, "w": 0.0}
+    assert {r["score"] for r in fetch.score_by(embed, None)(df).collect()} == {1.0}
+    assert {r["url"]: r["score"] for r in fetch.score_by(embed, "lamp")(df).collect()}["u"] == 1.0
+    pages = spark.createDataFrame([("u", "vault one\n\nlamp two lamp\n\nlamp vault three"), ("v", "")], "url string, markdown string")
+    top = crawl.extraction_units(pages, crawl.TOP_CHUNKS, size=18, overlap=0, embed=embed, intent=[1.0, 0.0], k=2).orderBy("url", "chunk_index").collect()
+    assert [(r["url"], r["chunk_index"], r["source_chunk"]) for r in top] == [("u", 0, "lamp two lamp"), ("u", 1, "lamp vault three"), ("v", None, None)]
+    every = crawl.extraction_units(pages, crawl.TOP_CHUNKS, size=18, overlap=0).where("source_chunk is not null")
+    assert every.count() == 3
+    assert crawl.extraction_units(pages, crawl.FIRST_CHARS, longest=5).where("url = 'u'").first()["source_chunk"] == "vault"
