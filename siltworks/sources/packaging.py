@@ -8,10 +8,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut
 from ..functions.text import slugs
 from ..operators.records import BATCH_PROJECTIONS, PROJECTIONS, UNSUPPORTED, project
 from ..operators.scope import derive_prefixes
-from .records import write_array, write_json, write_lines
+from .records import write_array, write_json, write_lines, write_parts
 
 SPLITS = ("train", "validation", "test")
 FRAMEWORKS = ("mlx", "huggingface", "llama-factory", "axolotl", "plain-jsonl")
@@ -39,14 +40,21 @@ def _part(df: DataFrame, split: str, schema: str) -> DataFrame:
     return project(df.where(F.col("split") == split), schema)
 
 
-def package(df: DataFrame, framework: str, schema: str, out: str, name: str = "canonical_export") -> None:
-    """Files of a framework from records with a ``split`` column, in the given order of rows."""
+def package(df: DataFrame, framework: str, schema: str, out: str, name: str = "canonical_export", single: bool = True) -> None:
+    """Files of a framework from records with a ``split`` column, in the given order of rows.
+
+    Without ``single`` each file becomes a folder of JSON lines that the tasks write
+    themselves, in no order: nothing passes through the driver but the small descriptions.
+    """
     check_target(framework, schema)
-    if framework in ("mlx", "huggingface"):
+    if not single:
+        _package_parts(df, framework, schema, out, name)
+    elif framework in ("mlx", "huggingface"):
         for s in SPLITS:
             write_lines(_part(df, s, schema), os.path.join(out, f"{'valid' if framework == 'mlx' and s == 'validation' else s}.jsonl"))
     elif framework == "llama-factory":
         write_array(project(df, schema), os.path.join(out, f"{name}.json"))
+        # The entry that the framework reads
         entry: dict = {"file_name": f"{name}.json"}
         if READS[framework][schema] == "sharegpt":
             entry |= {"formatting": "sharegpt", "columns": {"messages": "messages"}, "tags": {"role_tag": "role", "content_tag": "content", "user_tag": "user", "assistant_tag": "assistant"}}
@@ -61,6 +69,20 @@ def package(df: DataFrame, framework: str, schema: str, out: str, name: str = "c
         write_json(write_sections(df, schema, os.path.join(out, "sections")), os.path.join(out, "manifest.json"))
 
 
+def _package_parts(df: DataFrame, framework: str, schema: str, out: str, name: str) -> None:
+    if framework in ("mlx", "huggingface"):
+        for s in SPLITS:
+            write_parts(_part(df, s, schema), os.path.join(out, f"{'valid' if framework == 'mlx' and s == 'validation' else s}.jsonl"))
+        return
+    target = {"llama-factory": name, "axolotl": "dataset.jsonl"}.get(framework, "unified.jsonl")
+    write_parts(project(df, schema), os.path.join(out, target))
+    if framework == "plain-jsonl":
+        listed = cut(manifest(df))
+        marked = df.withColumn("section", F.coalesce("section", F.lit("root"))).join(listed.select("section", "slug"), "section")
+        write_parts(marked.select("slug", *PROJECTIONS[schema]()), os.path.join(out, "sections"), "slug")
+        write_parts(listed, os.path.join(out, "manifest"))
+
+
 def manifest(df: DataFrame) -> DataFrame:
     """(slug, section, url_prefix, row_count) of each section; null sections are ``root``."""
     rows = df.select(F.coalesce("section", F.lit("root")).alias("section"), "source_url")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,18 +43,65 @@ def written_urls(spark: SparkSession, path: str) -> DataFrame:
     return lines.where("source_url is not null").select("source_url").distinct()
 
 
+def _data_files(spark: SparkSession, path: str) -> list[str]:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [s.getPath().toString() for s in fs.listStatus(p) if s.isFile() and s.getPath().getName()[0] not in "_."]
+
+
+def known_urls(spark: SparkSession, path: str) -> DataFrame:
+    """Distinct source_urls of a sink, from a narrow table beside it that lists the urls of each file.
+
+    Only files that the table lacks are read, and then listed, so the cost of a batch does not
+    grow with the sink's records. A crash between a write and its listing is mended by the next call.
+    """
+    table = f"{path.rstrip('/')}.urls"
+    listed = spark.read.schema("source_url string, file string").parquet(table) if _data_files(spark, table) else spark.createDataFrame([], "source_url string, file string")
+    name = F.element_at(F.split("file", "/"), -1)
+    have = {r[0] for r in listed.select(name).distinct().collect()}
+    new = [f for f in _data_files(spark, path) if f.rsplit("/", 1)[-1] not in have]
+    if new:
+        kind = T.StructType([T.StructField("source_url", T.StringType()), T.StructField("_bad", T.StringType())])
+        lines = spark.read.schema(kind).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(new)
+        found = lines.select("source_url", F.input_file_name().alias("file")).where("source_url is not null").distinct()
+        # a file without any url is listed too
+        found.union(spark.createDataFrame([(None, f) for f in new], "source_url string, file string")).write.mode("append").parquet(table)
+        listed = spark.read.schema("source_url string, file string").parquet(table)
+    return listed.where("source_url is not null").select("source_url").distinct()
+
+
 def append_new_pages(spark: SparkSession, records: DataFrame, path: str) -> DataFrame:
     """Append the records of pages that the sink lacks; returns these records. Null urls are never known.
 
     A page is written once however often it is delivered, which makes retried batches harmless.
     """
-    fresh = records.join(written_urls(spark, path), "source_url", "left_anti").select(*records.columns)
+    fresh = records.join(known_urls(spark, path), "source_url", "left_anti").select(*records.columns)
     # written first elsewhere: a cached plan would be made again, now without the rows, once its sink has changed
     fresh = cut(fresh)
     fresh.write.mode("append").json(path)
     return fresh
 
 
+def write_batch(spark: SparkSession, records: DataFrame, path: str, chunks: DataFrame | None = None, upsert: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """One batch: the records of new pages appended, then the chunks of the batch upserted; returns the new records.
+
+    Both steps may be repeated: known pages are not written again, and an upsert
+    of known chunks changes nothing, so a batch that failed between them is delivered again whole.
+    """
+    fresh = append_new_pages(spark, records, path)
+    if chunks is not None and upsert is not None:
+        upsert(chunks)
+    return fresh
+
+
+def write_parts(df: DataFrame, path: str, by: str | None = None) -> None:
+    """JSON lines written by the tasks into a folder, nulls included; one folder a value of ``by`` if given."""
+    w = df.write.mode("overwrite").option("ignoreNullFields", "false")
+    (w.partitionBy(by) if by else w).json(path)
+
+
 def write_lines(df: DataFrame, path: str) -> int:
     """One JSON-lines file of exactly this name on the driver's file system, in the rows' order; the number of rows.
 

@@ -228,3 +228,102 @@ def test_heading_scores_and_top_units(spark):
     every = crawl.extraction_units(pages, crawl.TOP_CHUNKS, size=18, overlap=0).where("source_chunk is not null")
     assert every.count() == 3
     assert crawl.extraction_units(pages, crawl.FIRST_CHARS, longest=5).where("url = 'u'").first()["source_chunk"] == "vault"
+
+
+def embedding():
+    """Counts as vectors; made here so that it travels by value."""
+    return lambda texts: [[float(t.count("lamp")), float(len(t))] for t in texts]
+
+
+def test_chunk_index_is_stored_with_its_identity(spark, tmp_path):
+    from siltworks.sources import chunk_index
+
+    path, lamp_embed = str(tmp_path / "index"), embedding()
+    chunks = lambda rows: spark.createDataFrame(rows, "chunk_id string, text string, sources array<string>, parent_text string")
+    assert chunk_index.identity(spark, path) is None and chunk_index.open_index(spark, path, "m", 2).count() == 0
+    chunk_index.upsert(chunks([("1", "lamp lamp", ["u"], "p"), ("2", "vault", ["u"], "p")]), path, lamp_embed, "m", 2)
+    calls = str(tmp_path / "calls")
+
+    def noted(texts):
+        with open(calls, "a") as f:
+            f.write("".join(t + "\n" for t in texts))
+        return lamp_embed(texts)
+
+    chunk_index.upsert(chunks([("1", "lamp lamp", ["v"], "other"), ("3", "river lamp", ["v"], "q")]), path, noted, "m", 2)
+    got = {r["chunk_id"]: r for r in chunk_index.open_index(spark, path, "m", 2).collect()}
+    assert set(got) == {"1", "2", "3"} and got["1"]["sources"] == ["u", "v"] and got["1"]["parent_text"] == "p" and got["1"]["embedding"][0] == 2.0
+    assert open(calls).read() == "river lamp\n"
+    for model, dim in (("other", 2), ("m", 3)):
+        with pytest.raises(ValueError):
+            chunk_index.open_index(spark, path, model, dim)
+    near = chunk_index.query_text(spark, path, "lamp lamp", lamp_embed, "m", 2).collect()
+    assert [r["chunk_id"] for r in near] == ["1", "3"] and near[0]["distance"] == 0.0
+    assert chunk_index.query_text(spark, str(tmp_path / "none"), "x", lamp_embed, "m").count() == 0
+
+
+def test_sink_lists_its_urls_beside_it(spark, tmp_path):
+    sink = str(tmp_path / "sink")
+    batch = lambda rows: spark.createDataFrame(rows, "source_url string, question string")
+    assert records.append_new_pages(spark, batch([("u", "1"), ("u", "2"), (None, "3")]), sink).count() == 3
+    assert records.append_new_pages(spark, batch([("u", "1"), ("v", "4")]), sink).count() == 1
+    # a file that was written but not listed, as after a crash
+    batch([("w", "5")]).write.mode("append").json(sink)
+    done = []
+    assert records.write_batch(spark, batch([("v", "4"), ("w", "5"), ("x", "6")]), sink, batch([("a", "b")]), done.append).count() == 1 and len(done) == 1
+    assert {r[0] for r in records.known_urls(spark, sink).collect()} == {"u", "v", "w", "x"}
+    assert records.known_urls(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_export_in_parts(spark, tmp_path):
+    raw = records.read_records_in_order(spark, write(tmp_path / "in.jsonl", [*grid(), grid()[0] | {"question": "Asked otherwise?", "answer": "A long enough answer number 0 0 again"}]))
+    out = tmp_path / "out"
+    card = export.export(raw, str(out), "plain-jsonl", near_report=True, threshold=0.9, single=False, splitter="hash")
+    assert card["row_counts"]["final"] == 13
+    assert spark.read.json(str(out / "unified.jsonl")).count() == 13
+    assert {r["slug"]: r["count"] for r in spark.read.json(str(out / "sections")).groupBy("slug").count().collect()} == {"section0": 5, "section1": 4, "section2": 4}
+    assert {r["slug"]: (r["url_prefix"], r["row_count"]) for r in spark.read.json(str(out / "manifest")).collect()}["section1"] == ("https://x.com/section1/", 4)
+    assert spark.read.json(str(out / "dataset_card")).first()["row_counts"]["final"] == 13
+    n = spark.read.json(str(out / "semantic_dedup_report")).first()["candidate_count"]
+    listed = spark.read.json(str(out / "semantic_dedup_candidates")).collect()
+    assert len(listed) == n > 0 and {r["reason"] for r in listed} == {"semantic_near_duplicate"} and all(r["record"]["question"] and r["kept_question"] for r in listed)
+    export.export(raw, str(tmp_path / "m"), "mlx", single=False)
+    assert sum(spark.read.json(str(tmp_path / "m" / f"{s}.jsonl")).count() for s in ("train", "valid", "test") if any((tmp_path / "m" / f"{s}.jsonl").glob("*.json"))) == 13
+    with pytest.raises(ValueError):
+        export.export(raw, str(out), splitter="odd")
+
+
+LAMPS = """
+import json
+
+def docs_site(url):
+    pages = {"https://h": "<a href='/docs/a'>a</a><a href='/docs/b'>b</a><a href='/blog/x'>x</a><a href='mailto:m'>m</a><a href='https://o/z'>z</a>", "https://h/docs/a": "<h1>lamp</h1><p>The lamp keeps it.</p><a href='/docs/c'>c</a>"}
+    if url.endswith(".txt"):
+        raise OSError("none")
+    return f"<main>{pages.get(url, '<h1>page</h1><p>text of ' + url + '</p>')}</main>"
+
+def answer():
+    return lambda text: json.dumps([{"instruction": "q", "response": text}])
+
+def lamp_embed(texts):
+    return [[float(t.count("lamp")), float(len(t))] for t in texts]
+"""
+
+
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    from siltworks import __main__ as cli
+
+    (tmp_path / "lamps.py").write_text(LAMPS)
+    monkeypatch.syspath_prepend(str(tmp_path))
+    spark.sparkContext.addPyFile(str(tmp_path / "lamps.py"))
+    cli.main(["dry-run", "https://h", "--fetch", "lamps:docs_site"])
+    told = capsys.readouterr().out.splitlines()
+    assert any(x.split() == ["Path:", "/docs/*", "+", "https://h/docs/b"] for x in told) and any(x.split() == ["Path:", "/docs/*", "-", "https://h/blog/x"] for x in told)
+    out = str(tmp_path / "c")
+    for _ in range(2):
+        cli.main(["crawl", "https://h", out, "--branch", "Path: /docs/*", "--fetch", "lamps:docs_site", "--ask", "lamps:answer", "--embed", "lamps:lamp_embed", "--embedding-model", "m", "--intent", "lamp"])
+        assert capsys.readouterr().out.split() == ["done", "3"]
+    assert {r["source_url"] for r in spark.read.json(f"{out}/records").collect()} == {f"https://h/docs/{k}" for k in "abc"}
+    cli.main(["score-report", f"{out}/frontier"])
+    assert capsys.readouterr().out.startswith("3 scored pages")
+    cli.main(["query", f"{out}/index", "lamp", "--embed", "lamps:lamp_embed", "--embedding-model", "m", "-k", "1"])
+    assert "distance" in capsys.readouterr().out
