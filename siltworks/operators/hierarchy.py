@@ -153,7 +153,7 @@ def _solve(rows: DataFrame, n: int, local_rows: int, paths: bool, level: int) ->
         anchor = F.when(~coin(F.col("id")) & F.col("parent").isNotNull() & F.col("crowded").isNull() & coin(F.col("parent")), F.col("parent")).otherwise(F.col("id"))
         parts = 2 * ceil(n / local_rows)
         rows = core.drop("kids", "extra", "part").join(crowded, "parent", "left").withColumn("part", F.pmod(F.xxhash64(anchor, F.lit(-level)), F.lit(parts)).cast("long")).drop("crowded")
-    done = _contracted(rows.select("id", "parent", "w", "size", "cyc", "up", "part"), local_rows, paths, level)
+    done = _contracted(rows.select("id", "parent", "w", "size", "cyc", "up", "part"), local_rows, paths, level, 2 * ceil(n / local_rows))
     if leaves is None:
         return done
     done = cut(done)
@@ -169,8 +169,9 @@ def _solve(rows: DataFrame, n: int, local_rows: int, paths: bool, level: int) ->
     return done.unionByName(hung)
 
 
-def _contracted(rows: DataFrame, local_rows: int, paths: bool, level: int) -> DataFrame:
-    frags = cut(rows.groupBy("part").applyInPandas(lambda pdf: _contract(pdf, paths), _UP))
+def _contracted(rows: DataFrame, local_rows: int, paths: bool, level: int, parts: int) -> DataFrame:
+    # the rows are few bytes each, so the number of tasks is not left to their size
+    frags = cut(rows.repartition(parts, "part").groupBy("part").applyInPandas(lambda pdf: _contract(pdf, paths), _UP))
     ends = frags.where("id = exit").select("id", F.when(F.col("st") == NONE, F.col("parent")).alias("pe"), "w", F.col("fsum").alias("size"), ((F.col("st") == MEMBER) | F.col("cyc")).alias("cyc"), "up")
     at = frags.select(F.col("id").alias("pe"), F.col("exit").alias("parent"), F.col("dist").alias("far"), F.col("loc").alias("lead"))
     quotient = cut(
@@ -191,7 +192,7 @@ def _contracted(rows: DataFrame, local_rows: int, paths: bool, level: int) -> Da
         F.col("id").alias("exit"), F.col("root").alias("r_root"), F.col("depth").alias("r_depth"), F.col("state").alias("r_state"), F.col("total").alias("r_total"), F.col("above").alias("r_above"), "r_alone"
     )
     full = frags.join(known, "exit").join(hung, "id", "left").drop("exit", "dist", "st", "fsum", "cyc", "up")
-    return full.groupBy("part").applyInPandas(lambda pdf: _expand(pdf, paths), _DONE)
+    return full.repartition(parts, "part").groupBy("part").applyInPandas(lambda pdf: _expand(pdf, paths), _DONE)
 
 
 def hierarchy(df: DataFrame, node: str = "url", parent: str = "parent_url", order: list[Column] | None = None, key=lambda c: c, with_path: bool = False, local_rows: int = 50_000) -> DataFrame:
@@ -222,7 +223,7 @@ def hierarchy(df: DataFrame, node: str = "url", parent: str = "parent_url", orde
         (F.array("up_node") if with_path else F.lit(None).cast("array<string>")).alias("up"),
         F.shiftright("id", 33).alias("part"),
     )
-    done = cut(_contracted(linked, local_rows, with_path, 0))
+    done = cut(_contracted(linked, local_rows, with_path, 0, parts))
     # of a loop the smallest node in byte order stands for the root
     rings = done.where(F.col("state") == MEMBER).join(nodes, "id").groupBy("root").agg(F.min("node").alias("ring_root"))
     roots = nodes.select(F.col("id").alias("root"), F.col("node").alias("root_node"))

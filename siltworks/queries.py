@@ -102,6 +102,14 @@ def resolved_links(spark, d):
     return f.select("base", "href", urls.resolve_url(F.col("href"), F.trim("base")).alias("url"))
 
 
+sql("resolved_links", rf"""
+WITH f AS (SELECT DISTINCT parent_url AS base, regexp_replace(url, '^\s*(?i:https?)://[^/?#]*', '') AS href FROM frontier WHERE parent_url IS NOT NULL),
+j AS (SELECT base, href, trim(base) AS b, trim(href, {_BLANKS_SQL}) AS h FROM f WHERE href <> ''),
+k AS (SELECT base, href, CASE WHEN h = '' THEN NULL ELSE regexp_extract(b, '^(?i:https?)://[^/?#]*') || CASE WHEN starts_with(h, '/') THEN h WHEN starts_with(h, '?') THEN regexp_extract(b, '^(?i:https?)://[^/?#]*([^?#]*)', 1) || h ELSE regexp_extract(b, '^(?i:https?)://[^/?#]*([^#]*)', 1) || h END END AS u FROM j)
+SELECT base, href, {_url_sql('u')} AS url FROM k
+""")
+
+
 @query
 def branches_of_home(spark, d):
     f = table(spark, d, "frontier").select(normal_url(F.col("url")).alias("u"))
@@ -630,6 +638,22 @@ def section_manifest(spark, d):
     return packaging.manifest(r)
 
 
+sql("section_manifest", rf"""
+WITH {_RECS_SQL}, r AS (SELECT coalesce(CASE WHEN s NOT IN ('', 'unknown', 'root') THEN s END, 'root') AS section, u FROM (SELECT trim(lower(section), ' /' || chr(9) || chr(10) || chr(13)) AS s, {_url_sql('source_url')} AS u FROM recs)),
+p AS (SELECT DISTINCT section, regexp_extract(u, '://([^/?#]*)', 1) AS host, regexp_extract(u, '://[^/?#]*([^?#]*)', 1) AS path,
+  list_filter(string_split(regexp_extract(u, '://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS seg FROM r WHERE u IS NOT NULL),
+g AS (SELECT section, min(host) AS host, min(seg) AS lo, max(seg) AS hi, min(path) AS p0, max(path) AS p1 FROM p GROUP BY section),
+c AS (SELECT section, host, lo[1:(CASE WHEN p0 = p1 THEN greatest(len(lo) - 1, 0) ELSE list_max(list_filter(range(0, len(lo) + 1), lambda i: lo[1:i] = hi[1:i])) END)] AS common FROM g),
+l AS (SELECT section, count(*) AS row_count FROM r GROUP BY section),
+b AS (SELECT section, row_count, regexp_replace(regexp_replace(lower(section), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS s0 FROM l),
+n AS (SELECT section, row_count, CASE WHEN s0 = '' THEN 'root' ELSE s0 END AS s1, row_number() OVER (PARTITION BY CASE WHEN s0 = '' THEN 'root' ELSE s0 END ORDER BY section) - 1 AS n FROM b),
+k AS (SELECT section, row_count, n, CASE WHEN n = 0 THEN s1 ELSE s1 || '-' || n END AS cand FROM n)
+SELECT k.section, k.row_count, 'https://' || c.host || CASE WHEN len(c.common) > 0 THEN '/' || array_to_string(c.common, '/') || '/' ELSE '/' END AS url_prefix,
+  CASE WHEN k.n > 0 AND o.cand IS NOT NULL THEN k.cand || '-' || substr(sha256(k.section), 1, 8) ELSE k.cand END AS slug
+FROM k LEFT JOIN c ON c.section = k.section LEFT JOIN (SELECT cand FROM k WHERE n = 0) o ON o.cand = k.cand
+""")
+
+
 @query
 def card_of_records(spark, d):
     c = export.dataset_card(records(spark, d, "source_url", "crawl_date", "license_signal"), 0, 0, 0)
@@ -658,17 +682,22 @@ h AS (SELECT *, ('0x' || substr(sha256('42' || chr(1) || coalesce(nullif({_url_s
 SELECT record_id, CASE WHEN u < 0.8 THEN 'train' WHEN u < 0.9 THEN 'validation' ELSE 'test' END AS split, question AS prompt, answer AS completion FROM h
 """)
 
-sql("p3_found", rf"""
+_TREE_SQL = rf"""
 WITH RECURSIVE n AS (SELECT {_url_sql('url')} AS url, nullif({_url_sql('parent_url')}, '') AS p, created_at FROM frontier),
 node AS (SELECT url, arg_min(coalesce(p, ''), created_at) AS p FROM n WHERE url IS NOT NULL GROUP BY url),
-link AS (SELECT a.url, b.url AS parent FROM node a LEFT JOIN node b ON b.url = a.p),
-up(url, anc, steps) AS (SELECT url, url, 0 FROM link UNION ALL SELECT up.url, link.parent, steps + 1 FROM up JOIN link ON link.url = up.anc WHERE link.parent IS NOT NULL AND steps < 400),
-reach AS (SELECT DISTINCT url, anc FROM up WHERE steps > 0),
+link AS (SELECT a.url, b.url AS parent, nullif(a.p, '') AS p FROM node a LEFT JOIN node b ON b.url = a.p),
+reach(url, anc) AS (SELECT url, parent FROM link WHERE parent IS NOT NULL UNION SELECT r.url, l.parent FROM reach r JOIN link l ON l.url = r.anc WHERE l.parent IS NOT NULL),
 member AS (SELECT DISTINCT url FROM reach WHERE url = anc),
 low AS (SELECT r.url, min(r.anc) AS ring FROM reach r JOIN member m ON m.url = r.anc GROUP BY r.url),
-top AS (SELECT url, arg_max(anc, steps) AS root, max(steps) AS depth FROM up GROUP BY url),
-down AS (SELECT anc AS url, count(*) AS k FROM reach WHERE url <> anc GROUP BY anc)
-SELECT t.url, coalesce(l.ring, t.root) AS root_url, CASE WHEN l.ring IS NULL THEN t.depth::BIGINT ELSE -1 END AS tree_depth, coalesce(d.k, 0) AS descendants,
-  CASE WHEN m.url IS NOT NULL THEN 'member' WHEN l.ring IS NOT NULL THEN 'below' ELSE 'none' END AS cycle_state
-FROM top t LEFT JOIN low l ON l.url = t.url LEFT JOIN member m ON m.url = t.url LEFT JOIN down d ON d.url = t.url
+level AS (SELECT l.url, count(r.anc) AS depth, max(CASE WHEN up.parent IS NULL THEN r.anc END) AS top FROM link l LEFT JOIN reach r ON r.url = l.url LEFT JOIN link up ON up.url = r.anc GROUP BY l.url),
+down AS (SELECT anc AS url, count(*) AS k FROM reach WHERE url <> anc GROUP BY anc),
+tree AS (SELECT t.url, l.p, coalesce(o.ring, v.top, t.url) AS root, CASE WHEN o.ring IS NULL THEN v.depth::BIGINT ELSE -1 END AS depth, coalesce(d.k, 0) AS descendants,
+  CASE WHEN m.url IS NOT NULL THEN 'member' WHEN o.ring IS NOT NULL THEN 'below' ELSE 'none' END AS cycle_state
+FROM node t JOIN link l ON l.url = t.url JOIN level v ON v.url = t.url LEFT JOIN low o ON o.url = t.url LEFT JOIN member m ON m.url = t.url LEFT JOIN down d ON d.url = t.url)
+"""
+sql("p3_found", _TREE_SQL + "SELECT url, root AS root_url, depth AS tree_depth, descendants, cycle_state FROM tree")
+sql("p3_paths", _TREE_SQL + """,
+above AS (SELECT r.url, string_agg(r.anc, ' > ' ORDER BY v.depth) AS names FROM reach r JOIN level v ON v.url = r.anc GROUP BY r.url)
+SELECT t.url AS node, t.p AS parent, t.root, t.depth, t.descendants, t.cycle_state, CASE WHEN t.cycle_state = 'none' THEN coalesce(a.names || ' > ', '') || t.url END AS path
+FROM tree t LEFT JOIN above a ON a.url = t.url
 """)
