@@ -9,7 +9,7 @@ from ..functions.urls import BLANKS, named_section, normal_url
 from .cross_split import leak_report, overlaps, record_pairs
 from .defects import flag_defects
 from .encoding import encode_corpus
-from .leakage import leaked_items, without_leaks
+from .leakage import LOOKALIKES, leaked_items, without_leaks
 from .page_body import main_body, page_furniture
 from .splits import entity_map, related_splits
 from .stuffing import stuffed_pages
@@ -44,6 +44,21 @@ def p1_pieces(spark, d):
     return _pieces(spark, d).select("item_kind", "item_id", "piece_no", "start", "boundary", "piece")
 
 
+@query
+def p1_joined(spark, d):
+    """Each text put together again from its pieces, what each repeats of the one before left out."""
+    before = Window.partitionBy("item_kind", "item_id").orderBy("piece_no")
+    ends = _pieces(spark, d).withColumn("end", F.col("start") + F.length("piece")).withColumn("done", F.coalesce(F.lag("end").over(before), F.lit(0)))
+    own = ends.withColumn("own", F.expr("substring(piece, cast(done - start + 1 as int))"))
+    whole = own.groupBy("item_kind", "item_id").agg(F.array_sort(F.collect_list(F.struct("piece_no", "own"))).alias("x"), F.max(F.length("piece")).alias("longest"), F.bool_and((F.col("piece_no") == 0) | (F.col("done") - F.col("start") == F.least(F.lit(200), "done"))).alias("overlapped"))
+    text = F.array_join(F.transform("x", lambda p: p["own"]), "")
+    return whole.select("item_kind", "item_id", F.md5(text).alias("text_md5"), (F.col("longest") <= 2000).alias("within"), "overlapped")
+
+
+SQL["p1_joined"] = """
+SELECT 'chunks' AS item_kind, chunk_no AS item_id, md5(parent_text) AS text_md5, true AS within, true AS overlapped FROM chunks WHERE length(parent_text) > 2000
+UNION ALL SELECT DISTINCT 'canonical', record_id, md5(source_chunk), true, true FROM canonical WHERE length(source_chunk) > 2000
+"""
 SQL["p1_found"] = r"""
 WITH items AS (
   SELECT 'chunks' AS item_kind, chunk_no AS item_id, parent_text AS t FROM chunks
@@ -102,6 +117,28 @@ def p5_report(spark, d):
     return leak_report(members.withColumn("section", named_section(F.col("section"))), pairs)
 
 
+_WORDS_SQL = r"regexp_extract_all(lower(regexp_replace(regexp_replace(regexp_replace({}, '!?\[([^\]\[]*)\]\([^()\s]*(?:\s+\"[^\"]*\")?\)', '\1', 'g'), '</?[A-Za-z][^<>]*>', ' ', 'g'), '&(?:[a-zA-Z]{{2,8}}|#[0-9]{{1,7}});', ' ', 'g')), '[\p{{L}}\p{{N}}\p{{M}}]+')"
+# the words matched in order by rows of the common subsequence: prefix maxima of what each next word can add
+SQL["p5_found"] = rf"""
+WITH l AS (SELECT record_id, CASE WHEN lower(trim(split_label)) LIKE 'tr%' THEN 't' WHEN lower(trim(split_label)) LIKE 'va%' OR lower(trim(split_label)) LIKE 'te%' THEN 'e' END AS side FROM record_splits),
+c AS (SELECT record_id, min(question) AS q, min(coalesce(answer, '')) AS a FROM canonical GROUP BY record_id),
+r AS (SELECT record_id, side, q, regexp_extract(lower(q), '[a-z0-9]+(?:_[a-z0-9]+)+') AS setting, {_WORDS_SQL.format("q || chr(10) || a")} AS w, {_WORDS_SQL.format("q")} AS qw,
+  regexp_extract_all(regexp_replace(q, '\S*_\S*', ' ', 'g'), '[\p{{L}}\p{{M}}]+') AS found FROM c JOIN l USING (record_id) WHERE side IS NOT NULL),
+n AS (SELECT record_id, side, setting, w, qw, CASE WHEN len(list_filter(found, lambda x: x = lower(x))) > 0
+  THEN list_transform(list_filter(found[2:], lambda x: length(x) > 3 AND x[1] <> lower(x[1]) AND x <> upper(x)), lambda x: lower(x)) ELSE [] END AS names FROM r WHERE setting <> ''),
+p AS (SELECT t.record_id AS x, e.record_id AS y, t.w AS wa, e.w AS wb, t.names AS na, e.names AS nb, t.qw AS qa, e.qw AS qb FROM n t JOIN n e ON t.setting = e.setting AND t.side = 't' AND e.side = 'e'
+  WHERE t.record_id <> e.record_id AND 2 * least(len(t.w), len(e.w)) >= 0.8 * (len(t.w) + len(e.w))),
+m AS (SELECT x, y, na, nb, qa, qb, len(wa) + len(wb) AS total, list_last(list_reduce(list_transform(wa, lambda v: list_transform(wb, lambda u: CASE WHEN u = v THEN 1 ELSE 0 END)),
+  lambda row, hit: list_transform(range(1, len(hit) + 1), lambda i: list_max(list_transform(range(1, i + 1), lambda k: greatest(row[k], hit[k] * (CASE WHEN k > 1 THEN row[k - 1] ELSE 0 END + 1))))),
+  list_transform(wb, lambda u: 0))) AS same FROM p),
+lost AS (SELECT x, y, len(na) AS ka, len(nb) AS kb,
+  len(list_filter(na, lambda v: len(list_filter(qb, lambda u: u = v OR (least(length(u), length(v)) > 3 AND abs(length(u) - length(v)) < 3 AND damerau_levenshtein(u, v) < 3))) = 0)) AS la,
+  len(list_filter(nb, lambda v: len(list_filter(qa, lambda u: u = v OR (least(length(u), length(v)) > 3 AND abs(length(u) - length(v)) < 3 AND damerau_levenshtein(u, v) < 3))) = 0)) AS lb
+  FROM m WHERE 2 * same >= 0.8 * total - 1e-9)
+SELECT least(x, y) AS record_a, greatest(x, y) AS record_b FROM lost WHERE NOT (la > 0 AND (lb > 0 OR kb = 0)) AND NOT (lb > 0 AND ka = 0)
+"""
+
+
 @query
 def p7_found(spark, d):
     return flag_defects(table(spark, d, "canonical"))
@@ -119,6 +156,23 @@ def p9_clean_counts(spark, d):
     return kept.groupBy("source").agg(F.count("*").alias("documents"))
 
 
+_LIKE = "".join(LOOKALIKES), "".join(LOOKALIKES.values())
+_FOLD_SQL = (
+    r"translate(lower(strip_accents(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(lower({}), '(?s)<!--.*?-->|</?[A-Za-z][^<>]*>', ' ', 'g'), '\[([^\]\[]*)\]\([^()\s]*(?:\s+\"[^\"]*\")?\)', '\1', 'g'),"
+    r" '&nbsp;', ' '), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', ' '), 'ß', 'ss'),"
+    r" '[''’‘ʼ`´\x{{AD}}\x{{34F}}\x{{180E}}\x{{200B}}-\x{{200F}}\x{{202A}}-\x{{202E}}\x{{2060}}-\x{{2064}}\x{{FEFF}}]|&#39;', '', 'g'))), '" + _LIKE[0] + "', '" + _LIKE[1] + "')"
+)
+_LEAK_SQL = rf"""
+WITH d AS (SELECT DISTINCT doc_id, regexp_extract_all({_FOLD_SQL.format('text')}, '[\p{{L}}\p{{N}}]+') AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+i AS (SELECT item_id, regexp_extract_all({_FOLD_SQL.format('text')}, '[\p{{L}}\p{{N}}]+') AS w FROM benchmark_items WHERE text IS NOT NULL),
+g AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 11], ' ') AS gram FROM i, unnest(range(1, len(w) - 10)) AS t(k)),
+h AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 11], ' ') AS gram FROM d, unnest(range(1, len(w) - 10)) AS t(k)),
+leak AS (SELECT DISTINCT doc_id, item_id FROM h JOIN g USING (gram))
+"""
+SQL["p9_found"] = _LEAK_SQL + "SELECT doc_id, item_id FROM leak"
+SQL["p9_clean_counts"] = _LEAK_SQL + "SELECT source, count(*) AS documents FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM leak) GROUP BY source"
+
+
 @query
 def p10_found(spark, d):
     return stuffed_pages(table(spark, d, "documents")).select("doc_id")
