@@ -2,61 +2,44 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RULE = T.StructType([T.StructField("directive", T.StringType()), T.StructField("pattern", T.StringType())])
-POLICY = T.StructType([T.StructField("rules", T.ArrayType(RULE)), T.StructField("crawl_delay", T.DoubleType()), T.StructField("sitemaps", T.ArrayType(T.StringType()))])
 
 
-def parse_robots(text: str | None, agent: str = "*") -> dict:
-    """Rules and delay of the agent's group, else of ``*``; all sitemap lines.
-
-    Agent lines in a row share a group. An empty Disallow forbids nothing; an
-    empty Allow matches everything with length 0. A malformed delay is no delay.
-    """
-    rules: dict[str, list[dict]] = {}
-    delays: dict[str, float] = {}
-    names: list[str] = []
-    naming = False
-    sitemaps = []
-    for raw in (text or "").splitlines():
-        field, colon, value = raw.partition(":")
-        if colon and field.strip().lower() == "sitemap" and value.strip():
-            sitemaps.append(value.strip())
-        field, colon, value = raw.split("#", 1)[0].strip().partition(":")
-        field, value = field.strip().lower(), value.strip()
-        if not colon:
-            continue
-        if field == "user-agent":
-            names = [*names, value.lower()] if naming else [value.lower()]
-            rules.setdefault(value.lower(), [])
-            naming = True
-        elif names and field in ("allow", "disallow", "crawl-delay"):
-            naming = False
-            if field == "crawl-delay":
-                try:
-                    delay = float(value)
-                except ValueError:
-                    continue
-                delays.update(dict.fromkeys(names, delay))
-            elif value or field == "allow":
-                for n in names:
-                    rules[n].append({"directive": field, "pattern": value})
-    mine = agent.lower() if agent.lower() in rules else "*"
-    return {"rules": rules.get(mine, []), "crawl_delay": delays.get(mine), "sitemaps": sitemaps}
+_FIELDS = ("user-agent", "allow", "disallow", "crawl-delay")
 
 
 def policy(text: Column, agent: str = "*") -> Column:
-    """Struct of rules, crawl_delay, sitemaps of a robots.txt column; no rules for null."""
+    """Struct of rules, crawl_delay, sitemaps of a robots.txt column, in the JVM; no rules for null.
 
-    @F.pandas_udf(POLICY)
-    def read(s: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([parse_robots(t if isinstance(t, str) else None, agent) for t in s], columns=["rules", "crawl_delay", "sitemaps"])
-
-    return read(text)
+    The lines that count are numbered by group: a group begins with an agent
+    line that follows no other one. Rules and delay are those of the groups that name the
+    agent, or else ``*``. An empty Disallow forbids nothing; an empty Allow matches
+    everything with length 0. The last delay that is a number counts. Sitemap lines belong to no group.
+    """
+    raw = F.split(F.coalesce(text, F.lit("")), "\r\n|\n|\r")
+    field = lambda x: F.lower(F.trim(F.substring_index(x, ":", 1)))
+    value = lambda x: F.trim(F.substring(x, F.instr(x, ":") + 1, F.length(x)))
+    told = F.filter(F.transform(raw, lambda x: F.trim(F.substring_index(x, "#", 1))), lambda x: F.contains(x, F.lit(":")) & field(x).isin(*_FIELDS))
+    is_agent = lambda x: field(x) == "user-agent"
+    begins = F.transform(told, lambda x, i: (is_agent(x) & ((i == 0) | ~is_agent(F.get(told, i - 1)))).cast("int"))
+    numbers = F.aggregate(begins, F.array().cast("array<int>"), lambda acc, x: F.array_append(acc, F.coalesce(F.element_at(F.concat(F.array(F.lit(0)), acc), -1), F.lit(0)) + x))
+    lines = F.zip_with(told, numbers, lambda x, g: F.named_struct(F.lit("g"), g, F.lit("field"), field(x), F.lit("value"), value(x)))
+    of = lambda name: F.transform(F.filter(lines, lambda x: (x["field"] == "user-agent") & (F.lower(x["value"]) == name)), lambda x: x["g"])
+    own = of(agent.lower())
+    mine = F.when(F.size(own) > 0, own).otherwise(of("*"))
+    inside = F.filter(lines, lambda x: F.array_contains(mine, x["g"]))
+    rules = F.filter(inside, lambda x: (x["field"] == "allow") | ((x["field"] == "disallow") & (x["value"] != "")))
+    delays = F.filter(F.transform(F.filter(inside, lambda x: x["field"] == "crawl-delay"), lambda x: x["value"].try_cast("double")), lambda x: x.isNotNull())
+    maps = F.transform(F.filter(raw, lambda x: F.contains(x, F.lit(":")) & (field(x) == "sitemap") & (value(x) != "")), value)
+    return F.struct(
+        F.transform(rules, lambda x: F.named_struct(F.lit("directive"), x["field"], F.lit("pattern"), x["value"])).cast(T.ArrayType(RULE)).alias("rules"),
+        F.get(F.reverse(delays), F.lit(0)).alias("crawl_delay"),
+        maps.alias("sitemaps"),
+    )
 
 
 def pattern_regex(pattern: Column) -> Column:

@@ -125,13 +125,24 @@ ROBOTS = "User-agent: a\nUser-agent: *\nDisallow: /\nAllow: /en/stable/ # ok\nCr
 
 
 def test_robots(spark):
-    p = robots.parse_robots(ROBOTS)
+    read = lambda text, agent="*": spark.createDataFrame([(text,)], "t string").select(robots.policy(F.col("t"), agent).alias("p")).first()["p"].asDict(recursive=True)
+    p = read(ROBOTS)
     assert p["crawl_delay"] == 2.0 and p["sitemaps"] == ["https://h/s.xml"] and len(p["rules"]) == 2
-    assert robots.parse_robots(ROBOTS, "B") == {"rules": [], "crawl_delay": None, "sitemaps": ["https://h/s.xml"]}
+    assert read(ROBOTS, "B") == {"rules": [], "crawl_delay": None, "sitemaps": ["https://h/s.xml"]}
     df = spark.createDataFrame([("https://h/en/stable/x", ROBOTS), ("https://h/", ROBOTS), ("https://h/en/latest/", ROBOTS), ("https://h/x", None), ("https://h/a.b?q=1", "User-agent: *\nDisallow: /*?q=1$\nAllow: /a.b"), ("https://h/aXb", "User-agent: *\nDisallow: /a.b")], "u string, t string")
     assert [r[0] for r in df.withColumn("p", robots.policy(F.col("t"))).select(robots.allowed(F.col("u"), F.col("p.rules"))).collect()] == [True, False, False, True, False, True]
 
 
+def test_robots_groups(spark):
+    text = "Disallow: /none\r\nUser-agent: A # first\nUSER-AGENT: b\nCrawl-delay: x\nCrawl-delay: 3\nunknown: 1\nDisallow: /p # end\nDisallow:\nAllow:\n\nUser-agent: *\nDisallow: /q\nSitemap:  https://h/a#b \nUser-agent: a\nAllow: /r\nno colon"
+    rows = spark.createDataFrame([(text,), (None,), ("",)], "t string")
+    got = lambda agent: [(None if r["p"]["rules"] is None else [tuple(x) for x in r["p"]["rules"]], r["p"]["crawl_delay"], r["p"]["sitemaps"]) for r in rows.select(robots.policy(F.col("t"), agent).alias("p")).collect()]
+    maps = ["https://h/a#b"]
+    assert got("a") == [([("disallow", "/p"), ("allow", ""), ("allow", "/r")], 3.0, maps), ([], None, []), ([], None, [])]
+    assert got("B")[0] == ([("disallow", "/p"), ("allow", "")], 3.0, maps)
+    assert got("other")[0] == ([("disallow", "/q")], None, maps)
+
+
 def test_pages(spark):
     page = "<html><nav><a href='/n'>x</a></nav><main><h1>Head</h1><p>One <a href='/b' title='t'>two</a><button>no</button><ul><li>a<li>b</ul><pre>c  d</pre><span aria-hidden=true>h</span><div style='display: none'>z</div></main><footer>f</footer>"
     got = col(spark, [page, None, "", "plain", "<p>un<b>closed"], html.page)
