@@ -313,7 +313,7 @@ def repeats(df: DataFrame, text: str = "source_chunk") -> Repeats:
                 # of the text itself, so that copies elsewhere are one page too
                 page = crc32(t.encode()) << 32 | crc32(t[::-1].encode())
                 seen: dict[int, bool] = {}
-                for block, kinds in _kinds(t, None):
+                for block, kinds in _kinds(page_tree(t), None):
                     for i, node in enumerate(block):
                         if node.tag != "p" or kinds[i] == "F":
                             continue
@@ -435,7 +435,7 @@ def page_tree(text: str) -> Node:
     return builder.root
 
 
-def furniture_lines(text: str, seen: Repeats | None = None) -> list[int]:
+def furniture_lines(text: str, seen: Repeats | None = None, root: Node | None = None) -> list[int]:
     """Numbers, from 1, of the lines that are page furniture and not main content; blank lines never are.
 
     Decided on the block tree: what a page does not show and its landmarks of
@@ -444,12 +444,12 @@ def furniture_lines(text: str, seen: Repeats | None = None) -> list[int]:
     where ``seen`` is given, by their repetition over the corpus.
     """
     found: list[int] = []
-    for block, kinds in _kinds(text, seen, found):
+    for block, kinds in _kinds(root or page_tree(text), seen, found):
         found += [x.attrs["line"] + 1 for x, k in zip(block, kinds) if k == "F"]
     return sorted(found)
 
 
-def _kinds(text: str, seen: Repeats | None, away: list[int] | None = None) -> Iterator[tuple[list[Node], list[str]]]:
+def _kinds(root: Node, seen: Repeats | None, away: list[int] | None = None) -> Iterator[tuple[list[Node], list[str]]]:
     """Blocks in sight with the kind of each line, F furniture or C content; numbers of lines out of sight go to ``away``."""
     blocks: list[list[Node]] = []
     titles: set[str] = set()
@@ -470,7 +470,7 @@ def _kinds(text: str, seen: Repeats | None, away: list[int] | None = None) -> It
             else:
                 walk(c, inside)
 
-    walk(page_tree(text), True)
+    walk(root, True)
     for block in blocks:
         yield block, _kinds_of(block, titles, seen)
 
@@ -622,23 +622,32 @@ def _aligned(nodes: list[Node]) -> list[str]:
     return lines
 
 
-def main_body(df: DataFrame, record_id: str = "record_id", text: str = "source_chunk", seen: Repeats | None = None) -> DataFrame:
-    """(record_id, body): each text rendered from its block tree without its furniture lines; null stays null.
+def main_body(df: DataFrame, record_id: str = "record_id", text: str = "source_chunk", seen: Repeats | None = None, keep: int = 1024) -> DataFrame:
+    """(record_id, body) of every row: each text rendered from its block tree without its furniture lines; null stays null.
 
     Texts written as HTML are first rendered from their elements, so that markup
     that shares a line is told apart too. ``seen`` is counted over the table's texts unless it is given.
+    Each task keeps the bodies of its last ``keep`` texts, which changes no result.
     """
     shared = df.sparkSession.sparkContext.broadcast(seen or repeats(df, text))
 
-    def one(t: str | None, table: Repeats) -> str | None:
-        if t is None:
-            return None
+    def one(t: str, table: Repeats) -> str:
         if re.search(r"<(?:html|body|div|p|nav|table|ul|article)\b", t, re.I):
             t = render(tree(t))
-        return render_page(page_tree(t), set(furniture_lines(t, table)))
+        root = page_tree(t)
+        return render_page(root, set(furniture_lines(t, table, root)))
 
     def run(batches):
+        last: dict[str | None, str | None] = {None: None}
+        table = shared.value
         for b in batches:
-            yield pd.DataFrame({"record_id": b["i"], "body": [one(t, shared.value) for t in b["t"]]})
+            bodies = []
+            for t in b["t"]:
+                if t not in last:
+                    if len(last) >= keep:
+                        last = {None: None}
+                    last[t] = one(t, table)
+                bodies.append(last[t])
+            yield pd.DataFrame({"record_id": b["i"], "body": bodies})
 
     return df.select(F.col(record_id).cast("long").alias("i"), F.col(text).alias("t")).mapInPandas(run, "record_id long, body string")
