@@ -51,6 +51,8 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--max-pages", type=int)
     c.add_argument("--max-depth", type=int)
     c.add_argument("--batch", type=int)
+    c.add_argument("--per-host", type=int, help="requests of one host at a time")
+    c.add_argument("--delay", type=float, default=0.0, help="seconds between the starts of one host's requests")
     d = sub.add_parser("dry-run", help="what each branch of a root page would accept and reject, without a crawl")
     d.add_argument("root")
     d.add_argument("--fetch", default="siltworks.__main__:http_get")
@@ -113,7 +115,7 @@ def run_crawl(spark: SparkSession, a: argparse.Namespace):
     more = {} if ask is None else {"extract": extract, "write": lambda r: write_batch(spark, r, f"{a.out}/records")}
     return crawl.crawl(
         spark, branch_seeds(links, a.root, a.branch), fetch, scopes, on_pages=index, store=f"{a.out}/frontier", policies=rules, score=score_by(embed, a.intent),
-        extract_threshold=a.extract_threshold, follow_threshold=a.follow_threshold, max_pages=a.max_pages, max_depth=a.max_depth, batch=a.batch, **more,
+        extract_threshold=a.extract_threshold, follow_threshold=a.follow_threshold, max_pages=a.max_pages, max_depth=a.max_depth, batch=a.batch, per_host=a.per_host, delay=a.delay, **more,
     )
 
 

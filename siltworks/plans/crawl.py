@@ -66,13 +66,14 @@ def extract_records(pages: DataFrame, ask: Callable[[], Callable[[str], str]], m
     return records, outcome
 
 
-def wave(front: DataFrame, fetch: Callable[[str], str], scopes: DataFrame, at: Column, policies: DataFrame | None = None, score: Callable[[DataFrame], DataFrame] | None = None, extract_threshold: float = 0.0, follow_threshold: float = 0.0, max_depth: int | None = None, max_pages: int | None = None, batch: int | None = None, extract: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None, write: Callable[[DataFrame], None] | None = None, claimed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def wave(front: DataFrame, fetch: Callable[[str], str], scopes: DataFrame, at: Column, policies: DataFrame | None = None, score: Callable[[DataFrame], DataFrame] | None = None, extract_threshold: float = 0.0, follow_threshold: float = 0.0, max_depth: int | None = None, max_pages: int | None = None, batch: int | None = None, extract: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None, write: Callable[[DataFrame], None] | None = None, claimed: DataFrame | None = None, per_host: int | None = None, delay: float = 0.0) -> tuple[DataFrame, DataFrame]:
     """(frontier, pages) after one wave; pages(url, markdown, score, section) passed the extraction gate.
 
     policies(host, rules) hold robots rules; a host without any is open. ``score`` adds a
     ``score`` to pages, without it every page scores 1.0. ``extract`` makes (records, outcomes) of the pages that passed:
     a page whose outcome is ``retry`` counts an attempt and is queued again, though its score already
     decides over its children; ``write`` stores the records before any page is done. ``claimed`` are urls in progress already.
+    ``per_host`` and ``delay`` bound the requests of a host, see :func:`fetch_pages`.
     """
     if claimed is None:
         claimed = cut(Q.claimable(front, at, batch, max_pages))
@@ -81,7 +82,7 @@ def wave(front: DataFrame, fetch: Callable[[str], str], scopes: DataFrame, at: C
     if policies is not None:
         ruled = claimed.join(policies.select("host", "rules"), "host", "left")
         ok = ruled.withColumn("_ok", F.col("rules").isNull() | allowed(F.col("url"), F.col("rules"))).where("_ok")
-    got = cut(fetch_pages(ok, fetch))
+    got = cut(fetch_pages(ok, fetch, per_host=per_host, delay=delay))
     denied = claimed.join(ok.select("url"), "url", "left_anti").select("url", F.lit("failed").alias("outcome"), F.lit("disallowed by robots.txt").alias("error"), F.lit(None).cast("double").alias("retry_after"))
     read = cut(got.where("outcome is null").join(claimed.select("url", "depth", "section_label"), "url").withColumn("p", page(F.col("html"))).select("url", "depth", "section_label", "p.markdown", "p.hrefs"))
     scored = cut((score(read) if score else read.withColumn("score", F.lit(1.0))).select("url", "markdown", "score", F.col("section_label").alias("section")))

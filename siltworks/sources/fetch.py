@@ -2,28 +2,38 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.urls import host
+
 RATE_LIMITED, FATAL = "retry", "failed"
 PAGE = "url string, html string, error string, outcome string, retry_after double"
 
 
-def fetch_pages(urls: DataFrame, fetch: Callable[[str], str], spread: int | None = None) -> DataFrame:
+def fetch_pages(urls: DataFrame, fetch: Callable[[str], str], spread: int | None = None, per_host: int | None = None, delay: float = 0.0) -> DataFrame:
     """(url, html, error, outcome, retry_after) of each url by a function that gives HTML or raises.
 
     An exception with ``status`` 429, or whose response has it, is retried later (``retry_after``
     seconds); status 400 to 499 fails at once; anything else is retried. ``spread`` deals the urls
-    over so many tasks, since a call takes longer than a row.
+    over so many tasks, since a call takes longer than a row. With ``per_host`` a host's urls
+    are dealt over so many tasks at most, each of which fetches them one after the other, so no host gets more
+    requests at a time; starts of one host lie ``delay`` seconds apart on average then.
     """
 
     def run(batches):
+        due: dict[str, float] = {}
         for b in batches:
             out = []
             for u in b["url"]:
+                if delay and per_host:
+                    at = u.split("/", 3)[2].lower() if u.count("/") >= 2 else u
+                    time.sleep(max(0.0, due.get(at, 0.0) - time.monotonic()))
+                    due[at] = time.monotonic() + delay * per_host
                 try:
                     out.append((u, fetch(u), None, None, None))
                 except Exception as e:  # noqa: BLE001
@@ -33,7 +43,15 @@ def fetch_pages(urls: DataFrame, fetch: Callable[[str], str], spread: int | None
             yield pd.DataFrame(out, columns=["url", "html", "error", "outcome", "retry_after"])
 
     rows = urls.select("url")
-    return (rows.repartition(spread) if spread else rows).mapInPandas(run, PAGE)
+    if per_host:
+        if per_host < 1:
+            raise ValueError("per_host must be positive")
+        slot = F.pmod(F.xxhash64("url"), F.lit(per_host))
+        tasks = spread or int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.select("url", host(F.col("url")).alias("_h"), slot.alias("_slot")).repartition(tasks, "_h", "_slot").select("url")
+    elif spread:
+        rows = rows.repartition(spread)
+    return rows.mapInPandas(run, PAGE)
 
 
 def fetch_text(hosts: DataFrame, fetch: Callable[[str], str | None], name: str = "robots.txt", scheme: str = "https") -> DataFrame:

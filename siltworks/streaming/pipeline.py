@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.frontier import counts, in_progress
 from ..sources.records import append_new_pages
 
 PAGES = "url string, html string, fetched_at timestamp"
@@ -59,3 +60,11 @@ def rates(front: DataFrame, elapsed: float) -> DataFrame:
     """Counts by status and finished pages a minute, for a progress display."""
     done = F.count_if(F.col("status").isin("done", "skipped_extract"))
     return front.agg(done.alias("done"), F.count_if(F.col("status") == "in_progress").alias("in_flight"), F.round(done / F.lit(max(elapsed, 1e-9) / 60), 2).alias("pages_per_minute"))
+
+
+def progress_text(front: DataFrame, elapsed: float, slots: int = 5) -> str:
+    """A progress display for the console: counts by status, pages a minute, and the urls longest at work."""
+    n = {r["status"]: r["n"] for r in counts(front).collect()}
+    r = rates(front, elapsed).first()
+    head = f"{r['done']} pages done, {r['pages_per_minute']:.2f} a minute, {r['in_flight']} at work, {n.get('queued', 0)} queued, {n.get('pending_score', 0)} waiting, {n.get('skipped_follow', 0) + n.get('skipped_extract', 0)} skipped, {n.get('failed', 0)} failed"
+    return "\n".join([head, *(f"  {x['url']}" for x in in_progress(front, slots).collect())])

@@ -327,3 +327,34 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
     assert capsys.readouterr().out.startswith("3 scored pages")
     cli.main(["query", f"{out}/index", "lamp", "--embed", "lamps:lamp_embed", "--embedding-model", "m", "-k", "1"])
     assert "distance" in capsys.readouterr().out
+
+
+def test_requests_of_one_host_keep_their_distance(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def noted(url):
+        import os
+        import time
+        import uuid
+
+        start = time.time()
+        time.sleep(0.02)
+        with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+            f.write(f"{url} {start} {time.time()}")
+        return "x"
+
+    urls = spark.createDataFrame([(f"https://h/{k}",) for k in range(8)] + [("https://o/1",)], "url string")
+    got = fetch.fetch_pages(urls, noted, per_host=2, delay=0.05).collect()
+    assert len(got) == 9 and all(r["html"] == "x" for r in got)
+    calls = sorted(((float(a), float(b)) for u, a, b in (p.read_text().split() for p in tmp_path.iterdir()) if u.startswith("https://h/")))
+    assert max(sum(a <= x < b for a, b in calls) for x, _ in calls) <= 2
+    assert calls[-1][0] - calls[0][0] >= 3 * 0.1 - 0.02
+    with pytest.raises(ValueError):
+        fetch.fetch_pages(urls, noted, per_host=-1)
+
+
+def test_progress(spark):
+    rows = [("a", "done", "2"), ("b", "in_progress", "3"), ("c", "in_progress", "1"), ("d", "failed", "1"), ("e", "pending_score", "1")]
+    text = pipeline.progress_text(spark.createDataFrame(rows, "url string, status string, updated_at string"), 60)
+    assert text.splitlines() == ["1 pages done, 1.00 a minute, 2 at work, 0 queued, 1 waiting, 0 skipped, 1 failed", "  b", "  c"]
+    assert pipeline.progress_text(spark.createDataFrame([], "url string, status string, updated_at string"), 0).startswith("0 pages")
