@@ -17,7 +17,9 @@ EXCLUDED_TAGS = ("nav", "header", "footer", "aside", "button", "script", "style"
 EXCLUDED_ROLES = ("navigation", "banner", "contentinfo", "complementary", "button")
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _BLOCK = frozenset("address article blockquote dd div dl dt fieldset figcaption figure form h1 h2 h3 h4 h5 h6 hr li main ol p pre section table tr ul".split())
-_CLOSES = {"li": ("li",), "p": ("p",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+# A block ends an open paragraph, as far as no container lies between.
+_SCOPES = frozenset("article aside blockquote body button div footer header main nav section td th".split())
+_CLOSES = {t: ("p",) for t in _BLOCK | {"aside", "footer", "header", "nav"}} | {"li": ("li",), "p": ("p",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 
 class _Markdown(HTMLParser):
@@ -76,7 +78,7 @@ class _Markdown(HTMLParser):
             if self.stack[k][0] in _CLOSES.get(tag, ()):
                 self._close(k)
                 break
-            if self.stack[k][0] in ("ul", "ol", "table", "dl"):
+            if self.stack[k][0] in ("ul", "ol", "table", "dl") or (tag not in ("li", "dt", "dd", "tr") and self.stack[k][0] in _SCOPES):
                 break
         dropped = self._dropped(tag, a)
         if tag in _VOID:
@@ -117,8 +119,15 @@ class _Markdown(HTMLParser):
                 return
 
     def handle_data(self, data):
-        if not self.hidden:
-            self.out.append(data if self.pre else re.sub(r"\s+", " ", data))
+        if self.hidden:
+            return
+        if not self.pre:
+            data = re.sub(r"\s+", " ", data)
+            # a block begins without blanks
+            if data.startswith(" ") and (not self.out or self.out[-1].endswith(("\n", " "))):
+                data = data[1:]
+        if data:
+            self.out.append(data)
 
 
 def read_page(html: str | None, tags: tuple[str, ...] = EXCLUDED_TAGS, roles: tuple[str, ...] = EXCLUDED_ROLES) -> dict:

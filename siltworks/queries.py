@@ -611,9 +611,20 @@ def parent_child_chunks(spark, d):
 
 @query
 def read_pages(spark, d):
-    body = F.concat(F.lit("<html><nav><a href='/a'>Nav</a></nav><main><h1>T</h1><p>"), F.regexp_replace(F.coalesce("text", F.lit("")), "[<>&]", " "), F.lit("</p><a href='/b'>next</a></main><footer>F</footer></html>"))
-    p = table(spark, d, "documents").select("doc_id", html.page(body).alias("p"))
-    return p.select("doc_id", F.length("p.markdown").alias("chars"), F.array_join("p.hrefs", " ").alias("hrefs"))
+    """Pages made of the documents' lines, with chrome around, hidden parts and open tags between them, read back."""
+    bare = lambda x: F.btrim(F.regexp_replace(x, r"[^\p{L}\p{N}.,:;!?-]+", " "))
+    block = lambda x: F.when(bare(x) == "", "<div hidden>gone <b>too</b></div>").when(x.startswith("#"), F.concat(F.lit("<h2 class=t>"), bare(x), F.lit("</h2>"))).otherwise(F.concat(F.lit("<p> "), bare(x), F.lit("\n<button>Copy</button>")))
+    body = F.array_join(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), block), "\n")
+    whole = F.concat(F.lit("<html><head><style>p{}</style></head><nav><a href='/a'>Nav</a></nav><main>"), body, F.lit("<aside><p>Aside</aside><div role=complementary>x</div><a href='/b'>next</a></main><footer>F</footer><script>if (a < b) {}</script></html>"))
+    p = table(spark, d, "documents").select("doc_id", html.page(whole).alias("p"))
+    return p.select("doc_id", F.md5("p.markdown").alias("markdown_md5"), F.array_join("p.hrefs", " ").alias("hrefs"))
+
+
+sql("read_pages", rf"""
+WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: CASE WHEN starts_with(x, '#') THEN '## ' ELSE '' END || trim(regexp_replace(x, '[^\p{{L}}\p{{N}}.,:;!?-]+', ' ', 'g'))), lambda x: x NOT IN ('', '## ')) AS b FROM documents),
+k AS (SELECT doc_id, array_to_string(list_append(b, 'next'), chr(10) || chr(10)) AS md FROM l)
+SELECT doc_id, md5(array_to_string(list_filter(string_split(md, chr(10)), lambda x: lower(trim(x)) NOT IN ({", ".join("'" + p.lower().replace("'", "''") + "'" for p in text.CHROME_LINES)})), chr(10))) AS markdown_md5, '/a /b' AS hrefs FROM k
+""")
 
 
 @query
