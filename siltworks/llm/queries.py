@@ -93,6 +93,26 @@ SELECT DISTINCT a AS section_a, b AS section_b FROM reach WHERE a < b
 """
 
 
+@query
+def p2_components(spark, d):
+    """Each record's connected part, named by its smallest entity."""
+    ents, comp = entity_map(table(spark, d, "canonical"), "record_id", _section_keys())
+    first = ents.groupBy("record_id").agg(F.min(F.col("entities")[0]).alias("node"))
+    return first.join(comp, "node").select("record_id", "component")
+
+
+SQL["p2_components"] = r"""
+WITH RECURSIVE t AS (SELECT record_id, trim(source_url, ' ' || chr(9) || chr(10) || chr(13)) AS u, trim(lower(section), ' /' || chr(9) || chr(10) || chr(13)) AS s FROM canonical),
+r AS (SELECT DISTINCT record_id, CASE WHEN s NOT IN ('', 'unknown', 'root') THEN 'section' || chr(1) || s END AS section, 'page' || chr(1) || lower(regexp_extract(u, '^((?i:https?)://[^/?#]*)', 1))
+  || coalesce(nullif(rtrim(regexp_extract(u, '^(?i:https?)://[^/?#]*([^?#]*)', 1), '/'), ''), '/')
+  || CASE WHEN regexp_extract(u, '^[^?#]*\?([^#]*)', 1) <> '' THEN '?' || array_to_string(list_sort(string_split(regexp_extract(u, '^[^?#]*\?([^#]*)', 1), '&')), '&') ELSE '' END AS page FROM t),
+e AS (SELECT DISTINCT page AS a, section AS b FROM r WHERE section IS NOT NULL UNION SELECT DISTINCT section, page FROM r WHERE section IS NOT NULL),
+reach(a, b) AS (SELECT DISTINCT page, page FROM r UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b),
+c AS (SELECT a, min(b) AS component FROM reach GROUP BY a)
+SELECT DISTINCT record_id, component FROM r JOIN c ON c.a = r.page
+"""
+
+
 @query
 def p2_splits(spark, d):
     return related_splits(table(spark, d, "canonical"), "record_id", _section_keys())
