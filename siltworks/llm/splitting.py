@@ -67,10 +67,8 @@ def cut_text(text: str, limit: int, overlap: int) -> tuple[list[tuple[int, int,
     # neighbours as a linked list; a boundary is named by its left segment's last atom
     right, left, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
     end = strengths[:]
-    heap = [(strengths[i], i, i, i + 1) for i in range(n - 1)]
-    heapq.heapify(heap)
     stamp = [0] * n
-    heap = [(s, i, 0, 0) for s, i, _, _ in heap]
+    heap = [(strengths[i], i, 0, 0) for i in range(n - 1)]
     heapq.heapify(heap)
     while heap:
         _, i, ti, tj = heapq.heappop(heap)
