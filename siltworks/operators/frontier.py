@@ -135,13 +135,23 @@ def in_progress(front: DataFrame, n: int = 20) -> DataFrame:
     return front.where("status = 'in_progress'").select("url", "updated_at").orderBy(F.desc("updated_at"), "url").limit(n)
 
 
-def start_times(requests: DataFrame, by: str, arrival: str, key: str, delay: Column) -> DataFrame:
+def start_times(requests: DataFrame, by: str, arrival: str, key: str, delay: Column, width: float = 3600.0) -> DataFrame:
     """requests with ``start``: seconds at which each may begin if starts of one host lie ``delay`` apart, in order of arrival.
 
     The recursion start = max(previous + delay, arrival) is a running maximum of
-    arrival - delay * position, so no state is kept.
+    arrival - delay * position, so no state is kept. Requests are numbered in
+    spans of ``width`` seconds, and spans are joined by their counts and maxima, so the requests of a
+    crowded host are not sorted in one task. ``delay`` is one number a host; null hosts are one host.
     """
-    w = Window.partitionBy(by).orderBy(arrival, key)
-    at = F.row_number().over(w) - 1
-    shifted = requests.withColumn("_k", at).withColumn("_d", delay)
-    return shifted.withColumn("start", F.max(F.col(arrival) - F.col("_d") * F.col("_k")).over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_d") * F.col("_k")).drop("_k", "_d")
+    if width <= 0:
+        raise ValueError("width must be positive")
+    rows = requests.withColumn("_d", delay).withColumn("_h", F.coalesce(F.col(by).cast("string"), F.lit("\u0000"))).withColumn("_b", F.floor(F.col(arrival) / F.lit(width)))
+    own = Window.partitionBy("_h", "_b").orderBy(arrival, key)
+    before = Window.partitionBy("_h").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counted = rows.groupBy("_h", "_b").agg(F.count("*").alias("_n")).select("_h", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    placed = rows.withColumn("_k", F.row_number().over(own) - 1).join(counted, ["_h", "_b"]).withColumn("_k", F.col("_k") + F.col("_first"))
+    slack = placed.withColumn("_s", F.col(arrival) - F.col("_d") * F.col("_k"))
+    reached = slack.groupBy("_h", "_b").agg(F.max("_s").alias("_m")).select("_h", "_b", F.max("_m").over(before).alias("_top"))
+    inside = F.max("_s").over(own.rowsBetween(Window.unboundedPreceding, 0))
+    out = slack.withColumn("_s", inside).join(reached, ["_h", "_b"])
+    return out.withColumn("start", F.greatest("_s", "_top") + F.col("_d") * F.col("_k")).select(*requests.columns, "start")

@@ -143,26 +143,30 @@ def project(df: DataFrame, schema: str) -> DataFrame:
     return df.select(*PROJECTIONS[schema]())
 
 
-def mine_triplets(df: DataFrame, order: list[Column], seed: int = 42) -> DataFrame:
+def mine_triplets(df: DataFrame, order: list[Column], seed: int = 42, shelves: int = 64) -> DataFrame:
     """(anchor, positive, negative): the negative is a chunk of another page, drawn by a hash of the record.
 
     Chunks are weighted by their records. All records are numbered by page, so the
     other pages' records are all numbers outside the page's own range: the
     negative is a number drawn from there, fetched by one equi-join. Records
-    without any other page give no row. The numbering is made per page from
-    counts (one row a page), not by a sort of all records in one task.
+    without any other page give no row. A page's records are dealt by hash over
+    ``shelves`` that are numbered one after the other from their counts, so neither all records nor
+    those of a crowded page are sorted in one task.
     """
-    rows = df.where(F.col("source_url").isNotNull()).withColumn("_ord", F.struct(*order))
-    sizes = rows.groupBy("source_url").agg(F.count("*").alias("n"))
+    rows = df.where(F.col("source_url").isNotNull()).withColumn("_ord", F.struct(*order)).withColumn("_shelf", F.pmod(F.xxhash64(F.to_json("_ord")), F.lit(shelves)))
+    sizes = rows.groupBy("source_url", "_shelf").agg(F.count("*").alias("k"))
     # running totals over ranges of pages: totals per range first, then inside each range
     spread = sizes.withColumn("_part", F.pmod(F.xxhash64("source_url"), F.lit(512)))
-    inner = spread.withColumn("_in", F.sum("n").over(Window.partitionBy("_part").orderBy("source_url").rowsBetween(Window.unboundedPreceding, -1)))
-    parts = spread.groupBy("_part").agg(F.sum("n").alias("pn"))
+    inner = spread.withColumn("_in", F.sum("k").over(Window.partitionBy("_part").orderBy("source_url", "_shelf").rowsBetween(Window.unboundedPreceding, -1)))
+    parts = spread.groupBy("_part").agg(F.sum("k").alias("pn"))
     before = parts.withColumn("_before", F.coalesce(F.sum("pn").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("pn")
     total = parts.agg(F.sum("pn").alias("total"))
-    starts = inner.join(F.broadcast(before), "_part").select("source_url", "n", (F.col("_before") + F.coalesce("_in", F.lit(0))).alias("start"))
-    numbered = rows.withColumn("_at", F.row_number().over(Window.partitionBy("source_url").orderBy("_ord")) - 1).join(starts, "source_url").crossJoin(F.broadcast(total))
+    shelf = inner.join(F.broadcast(before), "_part").select("source_url", "_shelf", "k", (F.col("_before") + F.coalesce("_in", F.lit(0))).alias("first"))
+    page = Window.partitionBy("source_url")
+    starts = shelf.select("source_url", "_shelf", "first", F.min("first").over(page).alias("start"), F.sum("k").over(page).alias("n"))
+    place = F.row_number().over(Window.partitionBy("source_url", "_shelf").orderBy("_ord")) - 1
+    numbered = rows.withColumn("_at", place).join(starts, ["source_url", "_shelf"]).crossJoin(F.broadcast(total))
     draw = F.pmod(F.xxhash64(F.lit(seed), F.to_json("_ord")), F.greatest(F.col("total") - F.col("n"), F.lit(1)))
     asked = numbered.where("total > n").withColumn("_want", F.when(draw < F.col("start"), draw).otherwise(draw + F.col("n")))
-    pool = numbered.select((F.col("start") + F.col("_at")).alias("_want"), F.col("source_chunk").alias("negative"))
+    pool = numbered.select((F.col("first") + F.col("_at")).alias("_want"), F.col("source_chunk").alias("negative"))
     return asked.join(pool, "_want").select(F.col("question").alias("anchor"), F.col("source_chunk").alias("positive"), "negative")

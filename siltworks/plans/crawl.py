@@ -145,13 +145,18 @@ def crawl(spark: SparkSession, seeds: DataFrame, fetch: Callable[[str], str], sc
 
 
 def policies(spark: SparkSession, hosts: DataFrame, fetch: Callable[[str], str | None], agent: str = "*") -> DataFrame:
-    """(host, rules, crawl_delay, sitemaps, robots_found, llms_found) of each distinct host."""
+    """(host, rules, crawl_delay, sitemaps, robots_found, sitemap_found, sitemap_root_tag, llms_found, llms) of each distinct host.
+
+    The sitemap is the one at its usual place; what is there without a root element is none.
+    """
     from ..functions.robots import policy
     from ..sources.fetch import fetch_text
 
     robots = fetch_text(hosts, fetch).withColumn("p", policy(F.col("text"), agent)).select("host", "p.rules", "p.crawl_delay", "p.sitemaps", F.col("text").isNotNull().alias("robots_found"))
-    llms = fetch_text(hosts, fetch, "llms.txt").select("host", F.col("text").isNotNull().alias("llms_found"))
-    return robots.join(llms, "host")
+    tag = F.nullif(F.regexp_extract("text", r"^\s*(?:<\?[^>]*>\s*|<!--.*?-->\s*|<![^>]*>\s*)*<([A-Za-z_][\w.:-]*)", 1), F.lit(""))
+    maps = fetch_text(hosts, fetch, "sitemap.xml").select("host", tag.alias("sitemap_root_tag")).withColumn("sitemap_found", F.col("sitemap_root_tag").isNotNull())
+    llms = fetch_text(hosts, fetch, "llms.txt").select("host", F.col("text").isNotNull().alias("llms_found"), F.col("text").alias("llms"))
+    return robots.join(maps, "host").join(llms, "host")
 
 
 def hosts_of(front: DataFrame) -> DataFrame:

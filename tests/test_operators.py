@@ -251,3 +251,17 @@ def test_score_reports(spark):
     assert "below 0.5: 1 of 3 (33%)" in reports.score_report_text(df)
     assert reports.score_report_text(df.limit(0)) == "no page has a score"
     assert reports.results_text([]) == "nothing found"
+
+
+def test_start_times_match_the_recursion(spark):
+    rnd = random.Random(2)
+    rows = [(rnd.choice(["h", "o", None]), f"u{k:03d}", float(rnd.randrange(0, 400)) / 4) for k in range(150)]
+    last, want = {}, {}
+    for h, u, a in sorted(rows, key=lambda r: (r[2], r[1])):
+        last[h] = want[u] = max(last.get(h, float("-inf")) + 1.5, a)
+    df = spark.createDataFrame(rows, "host string, url string, arrival double")
+    for width in (7.0, 3600.0):
+        got = frontier.start_times(df, "host", "arrival", "url", F.lit(1.5), width).collect()
+        assert {r["url"]: round(r["start"], 9) for r in got} == {u: round(x, 9) for u, x in want.items()}
+    with pytest.raises(ValueError):
+        frontier.start_times(df, "host", "arrival", "url", F.lit(1.5), 0)

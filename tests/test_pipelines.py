@@ -110,10 +110,11 @@ def test_policies_and_fetch(spark):
     def get(url):
         if url.startswith("https://o"):
             raise OSError("down")
-        return "User-agent: *\nDisallow: /x" if url.endswith("robots.txt") else None
+        return "User-agent: *\nDisallow: /x" if url.endswith("robots.txt") else "<?xml version='1.0'?>\n<!-- x -->\n<urlset xmlns='y'/>" if url.endswith("sitemap.xml") else None
 
     got = {r["host"]: r for r in crawl.policies(spark, hosts, get).collect()}
     assert got["h"]["robots_found"] and not got["h"]["llms_found"] and not got["o"]["robots_found"] and len(got["h"]["rules"]) == 1
+    assert (got["h"]["sitemap_found"], got["h"]["sitemap_root_tag"], got["o"]["sitemap_found"], got["h"]["llms"]) == (True, "urlset", False, None)
 
     def page(url):
         e = RuntimeError("slow down")
