@@ -5,8 +5,8 @@ tags; visibility rules drop what a page does not show; the renderer emits all
 visible text and keeps block spacing, lists and aligned table cells. Extracted
 text (lines of Markdown) enters a block tree of elements, blocks and lines by its
 own marks, and lines of HTML by their elements (:func:`page_tree`). Blocks of
-the tree are then main content or furniture: by visibility, by what their lines
-are (links, labels, trails, customary words of the web), and by repetition: a line
+the tree are then main content or furniture: by visibility, by the form of their lines
+(links, labels, trails, pagers, sentences with buttons), and by repetition: a line
 all of whose parts stand on many pages, and seldom beside prose, belongs to
 the site and not to the article (:class:`Repeats`, counted over all texts).
 """
@@ -192,6 +192,7 @@ def render(node: Node, main_only: bool = True) -> str:
 
 # --- furniture in extracted text ---------------------------------------------
 
+# The two lists that follow serve single texts only, where no corpus tells what repeats.
 # Titles of side boxes.
 BOX_TITLES = (
     r"related (?:articles|pages|topics|links|posts)|popular (?:pages|articles|posts)|more in this section|on this page|(?:table of )?contents|in this (?:article|section|page)|see also|recommended(?: for you)?|what to read next|you may also like|most (?:read|viewed)|recent posts|further reading"
@@ -221,6 +222,8 @@ PHRASES = (
 )
 _box = re.compile(rf"^(?:#{{1,6}}\s+|\*\*)?(?:{BOX_TITLES})\s*:?(?:\*\*)?$", re.I)
 _phrase = re.compile("^(?:[-*•>]\\s+)?\\W{0,3}?(?:" + "|".join(f"(?:{p})" for p in PHRASES) + ")", re.I)
+# what a line is by its form alone: a copyright mark, a pager, a name with a list of single words
+_form = re.compile(r"^(?:[-*•>]\s+)?\W{0,3}?(?:(?:©|\(c\)\s*\d|copyright\b)|(?:previous|prev|vorherige|zurück|précédent|anterior)\b.{1,90}\b(?:next|nächste|weiter|suivant|siguiente)\b|[←«‹].{1,120}[→»›|]|[^\W\d_]+(?: [^\W\d_]+)?\s*[:»]\s+[\w-]+(?:, [\w-]+){2,}$)", re.I)
 _fence = re.compile(r"^\s*(```|~~~)")
 _item = re.compile(r"^\s*(?:[-*+•]|\d+[.)])\s+")
 _link_only = re.compile(r"^\s*(?:(?:[-*+•|·/>]|\d+[.)])?\s*!?\[[^\]\[]*\]\([^()\s]*(?:\s+\"[^\"]*\")?\)\s*[|·•/,>-]?\s*)+$")
@@ -275,6 +278,8 @@ class Repeats:
 
     def __init__(self, pages: np.ndarray, prose: np.ndarray, total: int, share: float = 1 / 5000, beside: float = 0.7):
         self.pages, self.prose, self.least, self.beside = pages, prose, max(3.0, share * total), beside
+        #: Of fewer than three texts nothing can stand on three.
+        self.tells = total >= 3
 
     def __contains__(self, line: str) -> bool:
         if 2 * len(_letters.findall(line)) < len(line.replace(" ", "")):
@@ -313,7 +318,7 @@ def repeats(df: DataFrame, text: str = "source_chunk") -> Repeats:
                 # of the text itself, so that copies elsewhere are one page too
                 page = crc32(t.encode()) << 32 | crc32(t[::-1].encode())
                 seen: dict[int, bool] = {}
-                for block, kinds in _kinds(page_tree(t), None):
+                for block, kinds in _kinds(page_tree(t), None, False):
                     for i, node in enumerate(block):
                         if node.tag != "p" or kinds[i] == "F":
                             continue
@@ -328,7 +333,7 @@ def repeats(df: DataFrame, text: str = "source_chunk") -> Repeats:
 
     rows = df.select(F.col(text).alias("t")).where("t is not null and t <> ''").mapInPandas(count, "row int, page long, beside boolean").distinct()
     got = rows.groupBy("row").agg(F.count("*").alias("n"), F.count_if("beside").alias("b")).where("n > 2").toPandas()
-    total = df.select(F.xxhash64(text).alias("x")).where(F.col(text).isNotNull()).agg(F.approx_count_distinct("x")).first()[0]
+    total = df.where(F.col(text) != "").select(F.xxhash64(text).alias("x")).agg(F.approx_count_distinct("x")).first()[0]
     pages, prose = np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32)
     pages[got["row"]], prose[got["row"]] = got["n"], got["b"]
     return Repeats(pages, prose, total)
@@ -440,16 +445,17 @@ def furniture_lines(text: str, seen: Repeats | None = None, root: Node | None =
 
     Decided on the block tree: what a page does not show and its landmarks of
     furniture (nav, aside, footer, their roles) are furniture with all their lines,
-    code is content, and the lines of other blocks are told by their block and,
-    where ``seen`` is given, by their repetition over the corpus.
+    code is content, and the lines of other blocks are told by their form, their block and
+    their repetition over the corpus. Only where ``seen`` is not given, or knows fewer than three
+    texts, lists of customary words and titles stand in for repetition.
     """
     found: list[int] = []
-    for block, kinds in _kinds(root or page_tree(text), seen, found):
+    for block, kinds in _kinds(root or page_tree(text), seen, seen is None or not seen.tells, found):
         found += [x.attrs["line"] + 1 for x, k in zip(block, kinds) if k == "F"]
     return sorted(found)
 
 
-def _kinds(root: Node, seen: Repeats | None, away: list[int] | None = None) -> Iterator[tuple[list[Node], list[str]]]:
+def _kinds(root: Node, seen: Repeats | None, listed: bool, away: list[int] | None = None) -> Iterator[tuple[list[Node], list[str]]]:
     """Blocks in sight with the kind of each line, F furniture or C content; numbers of lines out of sight go to ``away``."""
     blocks: list[list[Node]] = []
     titles: set[str] = set()
@@ -472,11 +478,16 @@ def _kinds(root: Node, seen: Repeats | None, away: list[int] | None = None) -> I
 
     walk(root, True)
     for block in blocks:
-        yield block, _kinds_of(block, titles, seen)
+        yield block, _kinds_of(block, titles, seen, listed)
 
 
-def _kinds_of(block: list[Node], headings: set[str], seen: Repeats | None) -> list[str]:
+def _kinds_of(block: list[Node], headings: set[str], seen: Repeats | None, listed: bool) -> list[str]:
     lines = [x.attrs["text"] for x in block]
+
+    def in_box(s: str) -> bool:
+        # a side box holds links, labels and headings of the page
+        return _link_only.match(s) is not None or s.lower() in headings or (len(s.split()) <= 6 and not _ends.search(s) and not _heading.match(s))
+
     kind = [""] * len(block)  # furniture: F, content: C, open: ?
     lead = False  # a plain list under a lead-in line is content
     box = False
@@ -486,22 +497,21 @@ def _kinds_of(block: list[Node], headings: set[str], seen: Repeats | None) -> li
             kind[i] = "C"
             continue
         if box:
-            # a side box holds links, labels and headings of the page
-            if _link_only.match(s) or s.lower() in headings or (len(s.split()) <= 6 and not _ends.search(s) and not _heading.match(s)):
+            if in_box(s):
                 kind[i] = "F"
                 continue
             box = False
         again = seen is not None and tag == "p" and not under and not s.endswith(":") and s in seen
-        if _box.match(s) and not under and (not _heading.match(s) or _box_follows(lines, i)):
+        if listed and _box.match(s) and not under and (not _heading.match(s) or _box_follows(lines, i)):
             kind[i] = "F"
             box = True
         elif tag == "h":
             kind[i] = "C"
         elif again:
-            # a repeated title of two words or more opens a box, a repeated label is a menu's
+            # a repeated title opens a box if what follows may stand in one
             kind[i] = "F"
-            box = not _ends.search(s) and 2 <= len(s.split()) <= 5 and i + 1 < len(block) and _label.match(lines[i + 1]) is not None
-        elif _phrase.match(s) and not (lead and tag == "li") and not _is_prose(s):
+            box = not _ends.search(s) and len(s.split()) <= 5 and i + 1 < len(block) and block[i + 1].tag in ("p", "li") and in_box(lines[i + 1])
+        elif (_phrase if listed else _form).match(s) and not (lead and tag == "li") and not _is_prose(s):
             kind[i] = "F"
         elif tag == "p" and _buttons.search(s):
             kind[i] = "F"
