@@ -139,7 +139,7 @@ def p5_report(spark, d):
 
 _WORDS_SQL = r"regexp_extract_all(lower(regexp_replace(regexp_replace(regexp_replace({}, '!?\[([^\]\[]*)\]\([^()\s]*(?:\s+\"[^\"]*\")?\)', '\1', 'g'), '</?[A-Za-z][^<>]*>', ' ', 'g'), '&(?:[a-zA-Z]{{2,8}}|#[0-9]{{1,7}});', ' ', 'g')), '[\p{{L}}\p{{N}}\p{{M}}]+')"
 # the words matched in order by rows of the common subsequence: prefix maxima of what each next word can add
-SQL["p5_found"] = rf"""
+_PAIRS_SQL = rf"""
 WITH l AS (SELECT record_id, CASE WHEN lower(trim(split_label)) LIKE 'tr%' THEN 't' WHEN lower(trim(split_label)) LIKE 'va%' OR lower(trim(split_label)) LIKE 'te%' THEN 'e' END AS side FROM record_splits),
 c AS (SELECT record_id, min(question) AS q, min(coalesce(answer, '')) AS a FROM canonical GROUP BY record_id),
 r AS (SELECT record_id, side, q, regexp_extract(lower(q), '[a-z0-9]+(?:_[a-z0-9]+)+') AS setting, {_WORDS_SQL.format("q || chr(10) || a")} AS w, {_WORDS_SQL.format("q")} AS qw,
@@ -154,8 +154,23 @@ m AS (SELECT x, y, na, nb, qa, qb, len(wa) + len(wb) AS total, list_last(list_re
 lost AS (SELECT x, y, len(na) AS ka, len(nb) AS kb,
   len(list_filter(na, lambda v: len(list_filter(qb, lambda u: u = v OR (least(length(u), length(v)) > 3 AND abs(length(u) - length(v)) < 3 AND damerau_levenshtein(u, v) < 3))) = 0)) AS la,
   len(list_filter(nb, lambda v: len(list_filter(qa, lambda u: u = v OR (least(length(u), length(v)) > 3 AND abs(length(u) - length(v)) < 3 AND damerau_levenshtein(u, v) < 3))) = 0)) AS lb
-  FROM m WHERE 2 * same >= 0.8 * total - 1e-9)
-SELECT least(x, y) AS record_a, greatest(x, y) AS record_b FROM lost WHERE NOT (la > 0 AND (lb > 0 OR kb = 0)) AND NOT (lb > 0 AND ka = 0)
+  FROM m WHERE 2 * same >= 0.8 * total - 1e-9),
+pairs AS (SELECT x, y FROM lost WHERE NOT (la > 0 AND (lb > 0 OR kb = 0)) AND NOT (lb > 0 AND ka = 0))
+"""
+SQL["p5_found"] = _PAIRS_SQL + "SELECT least(x, y) AS record_a, greatest(x, y) AS record_b FROM pairs"
+
+
+@query
+def p5_leaks(spark, d):
+    """Per evaluation split and section: all labelled records and those that also occur in train."""
+    return p5_report(spark, d).select("split", "section", "records", "leaked")
+
+
+SQL["p5_leaks"] = _PAIRS_SQL + """,
+told AS (SELECT DISTINCT record_id, CASE WHEN lower(trim(split_label)) LIKE 'va%' THEN 'validation' ELSE 'test' END AS split FROM record_splits WHERE lower(trim(split_label)) LIKE 'va%' OR lower(trim(split_label)) LIKE 'te%'),
+named AS (SELECT record_id, min(trim(lower(section), ' /' || chr(9) || chr(10) || chr(13))) AS s FROM canonical GROUP BY record_id)
+SELECT split, CASE WHEN s NOT IN ('', 'unknown', 'root') THEN s END AS section, count(DISTINCT record_id) AS records, count(DISTINCT CASE WHEN record_id IN (SELECT y FROM pairs) THEN record_id END) AS leaked
+FROM told JOIN named USING (record_id) GROUP BY 1, 2
 """
 
 
