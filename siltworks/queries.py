@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -597,6 +599,18 @@ def clean_texts(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(out).alias("text_md5"), F.length(out).alias("chars"))
 
 
+_TARGET_SQL = r'[^)\s]+(?:\s+"[^"]*")?'
+_INNER_SQL = r"(?:[^\[\]]|\[[^\[\]]*\])*"
+# images step aside under control characters while links become their text
+sql("clean_texts", rf"""
+WITH a AS (SELECT doc_id, regexp_replace(text, '!\[({_INNER_SQL})\]\(({_TARGET_SQL})\)', chr(2) || '\1' || chr(3) || '\2' || chr(4), 'g') AS t FROM documents),
+b AS (SELECT doc_id, regexp_replace(regexp_replace(t, '\[[\s`]*(?i:{"|".join(re.sub(r"([!-/:-@\[-`{-~])", r"\\\1", w) for w in text.GENERIC_LINKS).replace("'", "''")})[\s`]*\]\({_TARGET_SQL}\)', '', 'g'), '\[(?:[^\[\]A-Za-z0-9]|\[[^\[\]A-Za-z0-9]*\])*\]\({_TARGET_SQL}\)', '', 'g') AS t FROM a),
+c AS (SELECT doc_id, replace(replace(replace(regexp_replace(t, '\[({_INNER_SQL})\]\({_TARGET_SQL}\)', '\1', 'g'), chr(2), '!['), chr(3), ']('), chr(4), ')') AS t FROM b),
+e AS (SELECT doc_id, array_to_string(list_filter(string_split(t, chr(10)), lambda x: trim(regexp_replace(lower(trim(x, ' ' || chr(9) || chr(13))), '^```\w*\s*', ''), ' ' || chr(9) || chr(13)) NOT IN ({", ".join("'" + p.lower().replace("'", "''") + "'" for p in text.CHROME_LINES)})), chr(10)) AS t FROM c)
+SELECT doc_id, md5(t) AS text_md5, length(t)::INT AS chars FROM e
+""")
+
+
 @query
 def text_chunks(spark, d):
     t = table(spark, d, "documents").select("doc_id", F.explode(splitter.chunks(F.col("text"), 2000, 200)).alias("chunk"))
