@@ -13,7 +13,9 @@ children. Later levels, if the quotient is still larger than one task's share,
 rake leaves and colocate a random half of the nodes with their parents, so
 that every level shrinks by a constant factor whatever the shape. A group that
 a task holds has about ``local_rows`` rows; a parent with more children than
-that never draws them into its group.
+that never draws them into its group. Groups grow in number with the table,
+tasks do not: ``MOST_TASKS`` take the groups one after the other, and ``MOST_RANGES``
+ranges, of whose bounds the driver holds samples, are sorted and sliced into groups.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from pyspark.sql import functions as F
 from ..checkpoints import cut
 
 NONE, MEMBER, BELOW = 0, 1, 2
+#: What the driver keeps of a stage grows with its tasks, and what it samples with the ranges.
+MOST_TASKS, MOST_RANGES = 1_000, 300
 _UP = "id long, parent long, w long, size long, cyc boolean, up array<string>, part long, exit long, dist long, st int, fsum long, loc array<string>"
 _DONE = "id long, root long, depth long, state int, total long, above array<string>"
 
@@ -171,7 +175,8 @@ def _solve(rows: DataFrame, n: int, local_rows: int, paths: bool, level: int) ->
 
 def _contracted(rows: DataFrame, local_rows: int, paths: bool, level: int, parts: int) -> DataFrame:
     # the rows are few bytes each, so the number of tasks is not left to their size
-    frags = cut(rows.repartition(parts, "part").groupBy("part").applyInPandas(lambda pdf: _contract(pdf, paths), _UP))
+    tasks = min(parts, MOST_TASKS)
+    frags = cut(rows.repartition(tasks, "part").groupBy("part").applyInPandas(lambda pdf: _contract(pdf, paths), _UP))
     ends = frags.where("id = exit").select("id", F.when(F.col("st") == NONE, F.col("parent")).alias("pe"), "w", F.col("fsum").alias("size"), ((F.col("st") == MEMBER) | F.col("cyc")).alias("cyc"), "up")
     at = frags.select(F.col("id").alias("pe"), F.col("exit").alias("parent"), F.col("dist").alias("far"), F.col("loc").alias("lead"))
     quotient = cut(
@@ -192,7 +197,7 @@ def _contracted(rows: DataFrame, local_rows: int, paths: bool, level: int, parts
         F.col("id").alias("exit"), F.col("root").alias("r_root"), F.col("depth").alias("r_depth"), F.col("state").alias("r_state"), F.col("total").alias("r_total"), F.col("above").alias("r_above"), "r_alone"
     )
     full = frags.join(known, "exit").join(hung, "id", "left").drop("exit", "dist", "st", "fsum", "cyc", "up")
-    return full.repartition(parts, "part").groupBy("part").applyInPandas(lambda pdf: _expand(pdf, paths), _DONE)
+    return full.repartition(tasks, "part").groupBy("part").applyInPandas(lambda pdf: _expand(pdf, paths), _DONE)
 
 
 def hierarchy(df: DataFrame, node: str = "url", parent: str = "parent_url", order: list[Column] | None = None, key=lambda c: c, with_path: bool = False, local_rows: int = 50_000) -> DataFrame:
@@ -216,12 +221,14 @@ def hierarchy(df: DataFrame, node: str = "url", parent: str = "parent_url", orde
     first = F.min(F.struct(*[F.struct(c.isNull(), c) for c in (F.col(f"ord.{f}") for f in rows.schema["ord"].dataType.names)], F.col("up_node").isNull(), F.col("up_node").alias("up_node"))).alias("m")
     nodes = rows.where(F.col("node").isNotNull() & (F.col("node") != "")).groupBy("node").agg(first).select("node", F.col("m.up_node").alias("up_node"))
     parts = max(1, ceil(df.count() / local_rows))
-    nodes = cut(nodes.repartitionByRange(parts, "node").withColumn("id", F.monotonically_increasing_id()))
+    nodes = cut(nodes.repartitionByRange(min(parts, MOST_RANGES), "node").sortWithinPartitions("node").withColumn("id", F.monotonically_increasing_id()))
+    # an id holds its range and, in the lower 33 bits, its place there
+    place = F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
     ids = nodes.select(F.col("node").alias("up_node"), F.col("id").alias("parent"))
     linked = nodes.join(ids, "up_node", "left").select(
         "id", "parent", F.lit(1).cast("long").alias("w"), F.lit(1).cast("long").alias("size"), F.lit(False).alias("cyc"),
         (F.array("up_node") if with_path else F.lit(None).cast("array<string>")).alias("up"),
-        F.shiftright("id", 33).alias("part"),
+        F.shiftleft(F.shiftright("id", 33), 33).bitwiseOR(F.floor(place / local_rows)).alias("part"),
     )
     done = cut(_contracted(linked, local_rows, with_path, 0, parts))
     # of a loop the smallest node in byte order stands for the root

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from siltworks.operators import hierarchy as module
 from siltworks.operators.hierarchy import hierarchy
 
 
@@ -83,3 +84,18 @@ def test_empty(spark):
     assert run(spark, []) == {}
     with pytest.raises(ValueError):
         run(spark, [], local_rows=0)
+
+
+def test_more_groups_make_no_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(module, "MOST_TASKS", 5, raising=False)
+    monkeypatch.setattr(module, "MOST_RANGES", 3, raising=False)
+    rnd = random.Random(4)
+    parent = {f"n{i:03d}": f"n{rnd.randrange(i):03d}" if i > 2 else None for i in range(120)} | {"n003": "n119"}
+    spark.sparkContext.setJobGroup("crowd", "")
+    got = run(spark, list(parent.items()), local_rows=10)
+    spark.sparkContext.setJobGroup("rest", "")
+    told = spark.sparkContext.statusTracker()
+    stages = [told.getStageInfo(s) for j in told.getJobIdsForGroup("crowd") for s in told.getJobInfo(j).stageIds]
+    assert got == brute(parent)
+    # a union reads what two stages left
+    assert 1 < max(s.numTasks for s in stages if s) <= 10
