@@ -11,7 +11,9 @@ in the quotient.
 At the first level nodes are ranged by key, since parents mostly lie near their
 children. Later levels, if the quotient is still larger than one task's share,
 rake leaves and colocate a random half of the nodes with their parents, so
-that every level shrinks by a constant factor whatever the shape. A group that
+that every level shrinks by a constant factor whatever the shape; trees that have
+come down to their root are set aside as solved, for they shrink no more and their
+number grows with the table. A group that
 a task holds has about ``local_rows`` rows; a parent with more children than
 that never draws them into its group. Groups grow in number with the table,
 tasks do not: ``MOST_TASKS`` take the groups one after the other, and ``MOST_RANGES``
@@ -142,25 +144,34 @@ def _finish(pdf: pd.DataFrame, paths: bool) -> pd.DataFrame:
 
 def _solve(rows: DataFrame, n: int, local_rows: int, paths: bool, level: int) -> DataFrame:
     """rows: id, parent, w, size, cyc, up, part. Gives id, root, depth, state, total, above of each."""
+    finished = lambda some: some.withColumn("part", F.lit(0).cast("long")).groupBy("part").applyInPandas(lambda pdf: _finish(pdf, paths), _DONE)
     if n <= local_rows:
-        one = rows.withColumn("part", F.lit(0).cast("long"))
-        return one.groupBy("part").applyInPandas(lambda pdf: _finish(pdf, paths), _DONE)
+        return finished(rows)
     leaves = None
     if level:
         kids = rows.where("parent is not null").groupBy(F.col("parent").alias("id")).agg(F.count("*").alias("kids"))
         rows = cut(rows.join(kids, "id", "left"))
         leaves = rows.where("kids is null and parent is not null").drop("kids")
         extra = leaves.groupBy(F.col("parent").alias("id")).agg(F.sum("size").alias("extra"))
-        core = rows.where("kids is not null or parent is null").join(extra, "id", "left").withColumn("size", F.col("size") + F.coalesce("extra", F.lit(0)))
+        alone = rows.where("kids is null and parent is null").select(
+            "id",
+            F.col("id").alias("root"),
+            F.when(F.col("cyc"), -1).otherwise(0).cast("long").alias("depth"),
+            F.when(F.col("cyc"), MEMBER).otherwise(NONE).alias("state"),
+            F.col("size").alias("total"),
+            (F.array() if paths else F.lit(None)).cast("array<string>").alias("above"),
+        )
+        core = rows.where("kids is not null").join(extra, "id", "left").withColumn("size", F.col("size") + F.coalesce("extra", F.lit(0)))
+        n = rows.where("kids is not null").count()
         crowded = kids.where(F.col("kids") > max(1, local_rows // 4)).select(F.col("id").alias("parent"), F.lit(True).alias("crowded"))
         coin = lambda c: F.pmod(F.xxhash64(c, F.lit(level)), F.lit(2)) == 0
         anchor = F.when(~coin(F.col("id")) & F.col("parent").isNotNull() & F.col("crowded").isNull() & coin(F.col("parent")), F.col("parent")).otherwise(F.col("id"))
-        parts = 2 * ceil(n / local_rows)
+        parts = max(1, 2 * ceil(n / local_rows))
         rows = core.drop("kids", "extra", "part").join(crowded, "parent", "left").withColumn("part", F.pmod(F.xxhash64(anchor, F.lit(-level)), F.lit(parts)).cast("long")).drop("crowded")
-    done = _contracted(rows.select("id", "parent", "w", "size", "cyc", "up", "part"), local_rows, paths, level, 2 * ceil(n / local_rows))
+    rows = rows.select("id", "parent", "w", "size", "cyc", "up", "part")
     if leaves is None:
-        return done
-    done = cut(done)
+        return _contracted(rows, local_rows, paths, level, 2 * ceil(n / local_rows))
+    done = cut(finished(rows) if n <= local_rows else _contracted(rows, local_rows, paths, level, 2 * ceil(n / local_rows)))
     top = done.select(F.col("id").alias("parent"), "root", F.col("depth").alias("d"), F.col("state").alias("s"), F.col("above").alias("a"))
     hung = leaves.join(top, "parent").select(
         "id",
@@ -170,7 +181,7 @@ def _solve(rows: DataFrame, n: int, local_rows: int, paths: bool, level: int) ->
         F.col("size").alias("total"),
         F.when(F.col("s") == NONE, F.concat("a", "up")).alias("above") if paths else F.lit(None).cast("array<string>").alias("above"),
     )
-    return done.unionByName(hung)
+    return done.unionByName(hung).unionByName(alone)
 
 
 def _contracted(rows: DataFrame, local_rows: int, paths: bool, level: int, parts: int) -> DataFrame:

@@ -99,3 +99,23 @@ def test_more_groups_make_no_more_tasks(spark, monkeypatch):
     assert got == brute(parent)
     # a union reads what two stages left
     assert 1 < max(s.numTasks for s in stages if s) <= 10
+
+
+def test_more_trees_than_a_group_holds(spark, monkeypatch):
+    solve, levels = module._solve, []
+
+    def counted(rows, n, local_rows, paths, level):
+        levels.append(level)
+        # trees alone were carried along for ever
+        assert level < 8
+        return solve(rows, n, local_rows, paths, level)
+
+    monkeypatch.setattr(module, "_solve", counted)
+    # parents and loops that lie in other groups than their children, and trees of one node
+    parent = {f"a{i:02d}": None for i in range(15)} | {f"m{i:02d}": f"a{i:02d}" for i in range(12)} | {f"z{i:02d}": f"m{i % 9:02d}" for i in range(18)}
+    parent |= {"b0": "y0", "y0": "b0", "x0": "y0", "c0": "c0"}
+    assert run(spark, list(parent.items()), local_rows=5) == brute(parent)
+    assert max(levels) > 1
+    df = spark.createDataFrame(list(parent.items()), "url string, parent_url string")
+    paths = {r["node"]: r["path"] for r in hierarchy(df, with_path=True, local_rows=5).collect()}
+    assert paths["a14"] == ["a14"] and paths["z17"] == ["a08", "m08", "z17"] and paths["x0"] is None
