@@ -7,18 +7,50 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..checkpoints import cut
+from ..functions.ratios import PAIRS, Texts
 from ..functions.text import near_key
 
 ANSWER_THRESHOLD, QUESTION_THRESHOLD = 0.4, 0.6
-_CHARS = "abcdefghijklmnopqrstuvwxyz0123456789 "
-
-
-def _histograms(texts: list[str]) -> np.ndarray:
-    """Counts of the 37 characters that a near key may hold."""
-    table = np.zeros(128, np.int64)
-    for k, ch in enumerate(_CHARS):
-        table[ord(ch)] = k
-    return np.stack([np.bincount(table[np.frombuffer(t.encode("ascii", "ignore"), np.uint8)], minlength=37) for t in texts]) if texts else np.zeros((0, 37), np.int64)
+#: Rows and characters that a task compares at once; a group of a pair of blocks stays together.
+_ROWS, _CHARS = 2_048, 1_000_000
+
+
+def _compared(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Pairs of the threshold or more inside the groups (g, x, y) of rows sorted by group and first."""
+    firsts, lasts, b = pdf["first"].to_numpy(), pdf["last"].to_numpy(), pdf["b"].to_numpy()
+    same = (pdf["x"] == pdf["y"]).to_numpy()
+    texts = Texts(pdf["t"].tolist())
+    rows = np.arange(len(pdf))
+    new = _begins(pdf)
+    more = np.append(np.flatnonzero(new)[1:], len(pdf))[np.cumsum(new) - 1] - rows - 1
+    out, ahead = [], np.cumsum(more)
+    for k in np.split(rows, np.flatnonzero(np.diff(ahead // PAIRS)) + 1):
+        i = np.repeat(k, more[k])
+        j = i + 1 + np.arange(len(i)) - np.repeat(ahead[k] - more[k] - (ahead[k[0]] - more[k[0]]), more[k])
+        keep = same[i] | (b[i] != b[j])
+        i, j = i[keep], j[keep]
+        keep = texts.bound(i, j) >= threshold
+        i, j = i[keep], j[keep]
+        mixed = lasts[i] > firsts[j]
+        forward, backward = texts.ratios(j, i, threshold), np.full(len(i), -1.0)
+        backward[mixed] = texts.ratios(i[mixed], j[mixed], threshold)
+        found = pd.DataFrame({"a": firsts[i], "b": firsts[j], "forward": forward, "backward": backward, "mixed": mixed})
+        out.append(found[np.maximum(forward, backward) >= max(threshold, 0)])
+    out = pd.concat(out)
+    for c in ("forward", "backward"):
+        out[c] = out[c].astype("Float64").mask(out[c] < 0)
+    return out
+
+
+def _begins(pdf: pd.DataFrame) -> np.ndarray:
+    """Whether a row begins a group (g, x, y)."""
+    new = np.ones(len(pdf), bool)
+    new[1:] = False
+    for c in ("g", "x", "y"):
+        v = pdf[c].to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return new
 
 
 def near_classes(df: DataFrame, field: str = "answer", threshold: float = ANSWER_THRESHOLD, seq: str = "record_seq", group: str = "source_url", block: int = 128) -> tuple[DataFrame, DataFrame]:
@@ -36,8 +68,8 @@ def near_classes(df: DataFrame, field: str = "answer", threshold: float = ANSWER
 
     Pairs are never rows before they pass: a group is dealt into blocks of about
     ``block`` classes, every pair of blocks is a task's work, and inside it the
-    exact bound by character counts goes first. A group that holds a third of
-    all rows is thereby spread over the cluster; no pair is lost.
+    exact bound by character counts goes first; the ratios of the rest are taken many at a
+    time. A group that holds a third of all rows is thereby spread over the cluster; no pair is lost.
     """
     if not 0 <= threshold <= 1:
         raise ValueError("threshold must be in [0, 1]")
@@ -47,45 +79,34 @@ def near_classes(df: DataFrame, field: str = "answer", threshold: float = ANSWER
     dealt = classes.join(sizes, "g").withColumn("blocks", F.ceil(F.col("k") / F.lit(block)).cast("int")).withColumn("b", F.pmod(F.xxhash64("t"), F.col("blocks")).cast("int"))
     spread = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("g", "b", F.least("b", "o").alias("x"), F.greatest("b", "o").alias("y"), "first", "last", "t")
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        from difflib import SequenceMatcher
-
-        pdf = pdf.sort_values("first")
-        texts, firsts, lasts, b = pdf["t"].tolist(), pdf["first"].to_numpy(), pdf["last"].to_numpy(), pdf["b"].to_numpy()
-        same = pdf["x"].iloc[0] == pdf["y"].iloc[0]
-        hist, size = _histograms(texts), np.asarray([len(t) for t in texts])
-        matchers: dict[int, SequenceMatcher] = {}
-
-        def ratio(later: int, earlier: int) -> float:
-            m = matchers.get(earlier)
-            if m is None:
-                m = matchers[earlier] = SequenceMatcher(None)
-                m.set_seq2(texts[earlier])
-            m.set_seq1(texts[later])
-            return m.ratio()
-
-        out = []
-        for i in range(len(texts)):
-            js = np.arange(i + 1, len(texts))
-            if not same:
-                js = js[b[js] != b[i]]
-            if not len(js):
+    def compare(batches):
+        held: list[pd.DataFrame] = []
+        rows = chars = 0
+        for pdf in batches:
+            held.append(pdf)
+            rows, chars = rows + len(pdf), chars + int(pdf["t"].str.len().sum())
+            if rows < _ROWS and chars < _CHARS:
                 continue
-            total = size[i] + size[js]
-            bound = np.where(total == 0, 1.0, 2.0 * np.minimum(hist[js], hist[i]).sum(1) / np.maximum(total, 1))
-            for j in js[bound >= threshold]:
-                mixed = bool(lasts[i] > firsts[j])
-                found = [ratio(j, i), ratio(i, j) if mixed else -1.0]
-                if max(found) >= threshold:
-                    out.append((firsts[i], firsts[j], *[r if r >= threshold else None for r in found], mixed))
-            # an index of a text is only needed later where classes mix
-            matchers.pop(i, None)
-        return pd.DataFrame(out, columns=["a", "b", "forward", "backward", "mixed"])
+            whole = pd.concat(held, ignore_index=True)
+            # the last group may go on in the next batch
+            starts = np.flatnonzero(_begins(whole))
+            size = np.cumsum(whole["t"].str.len().to_numpy())
+            at = 0
+            while at < starts[-1]:
+                to = min(at + _ROWS, np.searchsorted(size, (size[at - 1] if at else 0) + _CHARS))
+                later = starts[starts > at]
+                to = later[max(0, np.searchsorted(later, to, "right") - 1)]
+                yield _compared(whole[at:to], threshold)
+                at = to
+            held = [whole[at:]]
+            rows, chars = len(held[0]), int(held[0]["t"].str.len().sum())
+        if rows:
+            yield _compared(pd.concat(held, ignore_index=True), threshold)
 
     # comparing costs far more than its input's bytes tell, so the number of tasks is not left to their size
     spark = df.sparkSession
     tasks = max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    pairs = spread.repartition(tasks, "g", "x", "y").groupBy("g", "x", "y").applyInPandas(compare, "a long, b long, forward double, backward double, mixed boolean")
+    pairs = spread.repartition(tasks, "g", "x", "y").sortWithinPartitions("g", "x", "y", "first").mapInPandas(compare, "a long, b long, forward double, backward double, mixed boolean")
     return rows.select("g", "h", "s").join(classes.select("g", "h", F.col("first").alias("cls")), ["g", "h"]).select("s", "cls"), pairs
 
 
@@ -139,7 +160,9 @@ def semantic_dedup(df: DataFrame, field: str = "answer", threshold: float = ANSW
     most there is, so of each class only that row can lose to another class.
     """
     members, pairs = near_classes(df, field, threshold, seq, group)
-    rows = members.join(df.select(F.col(seq).cast("long").alias("s"), F.length(F.coalesce(F.col(field), F.lit(""))).alias("n")), "s")
+    pairs = cut(pairs)
+    # numbers only, read again and again below; their texts are not
+    rows = cut(members.join(df.select(F.col(seq).cast("long").alias("s"), F.length(F.coalesce(F.col(field), F.lit(""))).alias("n")), "s"))
     lengths = rows.groupBy("cls", "n").agg(F.min("s").alias("first"))
     best = lengths.groupBy("cls").agg(F.max(F.struct("n", (-F.col("first")).alias("back"))).alias("m")).select("cls", F.col("m.n").alias("n"), (-F.col("m.back")).alias("r"))
     losers = rows.join(best.select("cls", "r"), "cls").where("s <> r").select("cls", "s", "n")
