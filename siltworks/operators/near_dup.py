@@ -118,6 +118,8 @@ def _halves(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def near_links(members: DataFrame, pairs: DataFrame) -> DataFrame:
     """(s, cls, links): each row's class and how many rows it is near to; half the sum of links is the number of pairs."""
+    # numbers only, read again and again below; their texts are not
+    members = cut(members)
     n = members.groupBy("cls").agg(F.count("*").alias("n"))
     sized = pairs.join(n.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b")
     whole, part = _halves(sized)
